@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docketry import schema as S
 from docketry.operators import frames
 from docketry.schema import RecordSchema
+from docketry.session import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,10 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "documents"))
+
+
 # --- orders as records for sampling ---------------------------------------------------------
 
 
@@ -169,7 +174,7 @@ LABEL_LIST_SQL = "labels_list AS (SELECT * FROM (VALUES " + ", ".join(
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents; the event of the same number lends its time as creation time."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    documents = documents_table(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").alias(S.CREATED)

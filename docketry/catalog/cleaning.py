@@ -60,7 +60,7 @@ def scan_csv_clean(spark, sf_dir):
     """Whole documents through a UTF-16 CSV file: line breaks in quotes, missing-value words."""
     path = scratch_path(spark, "raw-csv")
     lang = F.when(F.col("lang") == "en", "N/A").otherwise(F.col("lang"))
-    raw = B.table(spark, sf_dir, "documents").select("doc_id", lang.alias("lang"), "text")
+    raw = B.documents_table(spark, sf_dir).select("doc_id", lang.alias("lang"), "text")
     raw.write.options(header=True, encoding="UTF-16", escape='"', quoteAll=True).csv(path)
     scanned = tables.scan_csv(spark, path)
     return scanned.select("doc_id", "lang", TX.repair_text(F.col("text")).alias("text"))
@@ -96,7 +96,7 @@ def limit_first_rows(spark, sf_dir):
 )
 def text_ws_collapse(spark, sf_dir):
     spaced = F.replace(F.col("text"), F.lit("e "), F.lit("e \u001c "))
-    documents = B.table(spark, sf_dir, "documents")
+    documents = B.documents_table(spark, sf_dir)
     return documents.select("doc_id", TX.collapse_spaces(spaced).alias("text"))
 
 
@@ -109,16 +109,16 @@ def text_ws_collapse(spark, sf_dir):
 def text_mojibake_repair(spark, sf_dir):
     """All texts but the German ones are damaged first."""
     damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    documents = B.table(spark, sf_dir, "documents").select(
+    documents = B.documents_table(spark, sf_dir).select(
         "doc_id", F.when(F.col("lang") == "de", F.col("text")).otherwise(damaged).alias("raw")
     )
-    return documents.select("doc_id", TX.repair_text(F.col("raw")).alias("text"))
+    return TX.repair_columns(documents, {"text": F.col("raw")}).select("doc_id", "text")
 
 
 @register("text_fold_ascii", f"SELECT doc_id, {fold_sql('text')} AS folded FROM documents")
 def text_fold_ascii(spark, sf_dir):
-    documents = B.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", TX.fold_text(F.col("text")).alias("folded"))
+    documents = B.documents_table(spark, sf_dir)
+    return TX.fold_columns(documents, {"folded": F.col("text")}).select("doc_id", "folded")
 
 
 ORDER_LABELS = {"1-urgent": "Urgent", "2-high": "High", "3-medium": "Medium"}
@@ -132,7 +132,8 @@ ORDER_LABELS = {"1-urgent": "Urgent", "2-high": "High", "3-medium": "Medium"}
 def label_canonicalize(spark, sf_dir):
     orders = B.table(spark, sf_dir, "orders")
     raw = F.concat(F.lit(" "), F.translate("o_orderpriority", "UEI", "ÙÊÏ"), F.lit(" "))
-    return orders.select("o_orderkey", TX.canonical_label(raw, ORDER_LABELS).alias("label"))
+    folded = TX.fold_columns(orders, {"folded": raw})
+    return folded.select("o_orderkey", TX.label_of(F.col("folded"), ORDER_LABELS).alias("label"))
 
 
 # --- numbers and time -----------------------------------------------------------------------

@@ -30,7 +30,7 @@ weights AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY do
 
 
 def _documents(spark, sf_dir):
-    return B.table(spark, sf_dir, "documents")
+    return B.documents_table(spark, sf_dir)
 
 
 @register(

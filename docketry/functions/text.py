@@ -6,7 +6,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # (?U) makes \s the Unicode white-space class; the four separators are white space to Python only.
@@ -15,6 +15,8 @@ SPACES = r"(?U)[\s\x1c-\x1f]+"
 # Characters that betray UTF-8 bytes read as Latin-1.
 DAMAGE_MARKS = "[ÃÂâ�]"
 
+NON_ASCII = r"[^\x00-\x7F]"
+
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -22,18 +24,34 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
-def repair_text(text: Column) -> Column:
-    """Collapse white space, then undo UTF-8 text that was decoded as Latin-1.
+def repair_collapsed(clean: Column) -> Column:
+    """Undo UTF-8 text that was decoded as Latin-1; ``clean`` is already collapsed.
 
     A text is repaired only if it carries a damage mark, fits Latin-1, and its bytes are valid
-    UTF-8; otherwise the collapsed text stays as it is.
+    UTF-8; otherwise it stays as it is.
     """
-    clean = collapse_spaces(text)
     latin = ~clean.rlike(r"[^\x{00}-\x{FF}]")
     repaired = F.try_validate_utf8(F.encode(clean, "ISO-8859-1").cast("string"))
     return F.when(clean.rlike(DAMAGE_MARKS) & latin, F.coalesce(repaired, clean)).otherwise(clean)
 
 
+def repair_text(text: Column) -> Column:
+    """Collapse white space, then repair."""
+    return repair_collapsed(collapse_spaces(text))
+
+
+def repair_columns(df: DataFrame, sources: dict[str, Column]) -> DataFrame:
+    """Repaired texts as columns, in two projections so that each text is collapsed once."""
+    clean = df.withColumns({n: collapse_spaces(c) for n, c in sources.items()})
+    return clean.withColumns({n: repair_collapsed(F.col(f"`{n}`")) for n in sources})
+
+
+def fold_columns(df: DataFrame, sources: dict[str, Column]) -> DataFrame:
+    """Folded texts as columns, one projection per step for the same reason."""
+    repaired = repair_columns(df, {n: c.cast("string") for n, c in sources.items()})
+    return repaired.withColumns({n: fold_repaired(F.col(f"`{n}`")) for n in sources})
+
+
 @lru_cache(maxsize=1)
 def _fold_tables() -> tuple[dict[str, str], dict[str, str]]:
     """Characters whose compatibility decomposition leaves one, or several, ASCII characters."""
@@ -54,30 +72,32 @@ def strip_to_ascii(text: Column) -> Column:
     """NFKD decomposition without the characters outside ASCII."""
     single, several = _fold_tables()
     out = F.translate(text, "".join(single), "".join(single.values()))
-    pairs = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    listed = "\x02".join(f"{char}\x01{ascii_part}" for char, ascii_part in several.items())
+    pairs = F.str_to_map(F.lit(listed), F.lit("\x02"), F.lit("\x01"))
     spelled = F.array_join(
         F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), ""
     )
-    # The character-by-character form is only paid for by texts that need it.
-    out = F.when(out.rlike("[" + "".join(several) + "]"), spelled).otherwise(out)
-    return F.regexp_replace(out, r"[^\x00-\x7F]", "")
+    # Plain ASCII needs nothing, and the character-by-character form only runs where some
+    # character folds to several. A translation finds these faster than a long character class.
+    has_several = F.translate(text, "".join(several), "") != text
+    folded = F.regexp_replace(F.when(has_several, spelled).otherwise(out), NON_ASCII, "")
+    return F.when(text.rlike(NON_ASCII), folded).otherwise(text)
+
+
+def fold_repaired(text: Column) -> Column:
+    folded = collapse_spaces(F.lower(strip_to_ascii(text)))
+    return F.coalesce(folded, F.lit(""))
 
 
 def fold_text(text: Column) -> Column:
     """Repair, strip to lower-case ASCII, collapse; null becomes the empty string."""
-    folded = collapse_spaces(F.lower(strip_to_ascii(repair_text(text.cast("string")))))
-    return F.coalesce(folded, F.lit(""))
+    return fold_repaired(repair_text(text.cast("string")))
 
 
-def canonical_label(text: Column, labels: dict[str, str]) -> Column:
+def label_of(folded: Column, labels: dict[str, str]) -> Column:
     """The canonical label of a folded text, or null if it has none."""
-    folded = fold_text(text)
-    if not labels:
-        return F.lit(None).cast("string")
-    found = None
-    for key, value in labels.items():
-        found = F.when(folded == key, value) if found is None else found.when(folded == key, value)
-    return found
+    known = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return F.try_element_at(known, folded)
 
 
 def text_or_empty(text: Column) -> Column:

@@ -51,22 +51,25 @@ def term_counts(df: DataFrame, row_id: str, text: str, sizes: Sequence[int] = (1
         parts.append(F.col("_tokens"))
     if 2 in sizes:
         parts.append(TX.bigrams(F.col("_tokens")))
-    terms = tokens.select(row_id, F.array_sort(F.concat(*parts)).alias("_terms"))
-    starts = terms.where(F.size("_terms") > 0).select(
-        row_id,
-        "_terms",
+    terms = tokens.select(row_id, F.sort_array(F.concat(*parts)).alias("_terms"))
+    # Where each run of equal terms starts; null for a text without terms.
+    starts = F.when(
+        F.size("_terms") > 0,
         F.filter(
             F.sequence(F.lit(0), F.size("_terms") - 1),
             lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1)),
-        ).alias("_starts"),
+        ),
     )
-    ends = F.concat(F.slice("_starts", 2, F.size("_starts")), F.array(F.size("_terms")))
-    runs = starts.select(row_id, "_terms", F.inline(F.arrays_zip(F.col("_starts").alias("start"), ends.alias("end"))))
-    return runs.select(
-        row_id,
-        F.get("_terms", F.col("start")).alias("term"),
-        (F.col("end") - F.col("start")).cast("bigint").alias("tf"),
+    located = terms.select(row_id, "_terms", starts.alias("_starts"))
+    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(F.size("_terms")))
+    runs = F.zip_with(
+        "_starts",
+        ends,
+        lambda a, b: F.struct(F.get("_terms", a).alias("term"), (b - a).cast("bigint").alias("tf")),
     )
+    # The outer form keeps the optimiser from copying all of the above into a filter on the size.
+    found = located.select(row_id, runs.alias("_runs")).select(row_id, F.inline_outer("_runs"))
+    return found.where(F.col("term").isNotNull())
 
 
 def term_totals(counts: DataFrame) -> DataFrame:

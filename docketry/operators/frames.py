@@ -16,39 +16,39 @@ SPLITS = ("train", "validation", "test")
 def prepare_base(df: DataFrame, schema: RecordSchema = RecordSchema()) -> DataFrame:
     """Clean a raw record table; every input column is kept, absent ones are tolerated.
 
-    Two projections without a shuffle: repaired and typed source columns, then what is derived
-    from them. Labels and states are repaired a second time while folding, which undoes text
-    that was damaged twice.
+    A chain of projections without a shuffle: repaired and typed source columns, then what is
+    derived from them. Labels and states are repaired a second time while folding, which undoes
+    text that was damaged twice.
     """
     kinds = dict(df.dtypes)
-    cleaned = {
-        n: TX.repair_text(F.col(f"`{n}`")) for n in schema.text_columns if kinds.get(n) == "string"
-    }
-    cleaned |= {n: V.to_number(F.col(f"`{n}`")) for n in schema.number_columns if n in kinds}
-    first = df.withColumns(cleaned) if cleaned else df
+    texts = {n: F.col(f"`{n}`") for n in schema.text_columns if kinds.get(n) == "string"}
+    numbers = {n: V.to_number(F.col(f"`{n}`")) for n in schema.number_columns if n in kinds}
+    typed = df.withColumns(numbers) if numbers else df
+    clean = TX.repair_columns(typed, texts) if texts else typed
 
     # A source column that already is a timestamp keeps its type.
     def stamp(name: str) -> Column:
-        column = V.col_or_null(first, name)
-        return column.cast("timestamp_ntz") if kinds.get(name, "").startswith("timestamp") else V.to_timestamp(column)
-
+        column = V.col_or_null(clean, name)
+        if kinds.get(name, "").startswith("timestamp"):
+            return column.cast("timestamp_ntz")
+        return V.to_timestamp(column)
+
+    folds = {S.TARGET: schema.label, S.STATUS: schema.status}
+    present = {out: F.col(f"`{name}`") for out, name in folds.items() if name in kinds}
+    folded = TX.fold_columns(clean, present) if present else clean
     places = {schema.latitude, schema.longitude} <= set(kinds)
+    null = F.lit(None).cast("string")
     derived = {
         S.CREATED: stamp(schema.created),
         S.UPDATED: stamp(schema.updated),
-        S.TARGET: TX.canonical_label(F.col(f"`{schema.label}`"), schema.labels)
-        if schema.label in kinds
-        else F.lit(None).cast("string"),
-        S.STATUS: TX.fold_text(F.col(f"`{schema.status}`"))
-        if schema.status in kinds
-        else F.lit(None).cast("string"),
-        schema.text: TX.text_or_empty(V.col_or_null(first, schema.text)),
+        S.TARGET: TX.label_of(F.col(S.TARGET), schema.labels) if S.TARGET in present else null,
+        S.STATUS: F.col(S.STATUS) if S.STATUS in present else null,
+        schema.text: TX.text_or_empty(V.col_or_null(clean, schema.text)),
         S.HAS_PLACE: V.presence_flag(F.col(f"`{schema.latitude}`"), F.col(f"`{schema.longitude}`"))
         if places
         else F.lit(0.0),
     }
-    second = first.withColumns(derived)
-    return second.withColumns(V.calendar_parts(F.col(S.CREATED)))
+    return folded.withColumns(derived).withColumns(V.calendar_parts(F.col(S.CREATED)))
 
 
 def classification_rows(prepared: DataFrame, target: str = S.TARGET) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,30 +36,42 @@ def _deal(frame: DataFrame, room: str, amount: Column, order: list[Column], out:
     """
     everyone = Window.partitionBy()
     ascending = Window.orderBy(room).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    r = F.col(room)
-    frame = frame.withColumn("_amount", F.least(amount, F.sum(r).over(everyone)))
-    # Units handed out if every group stopped at this group's room.
-    at_or_below = F.count(F.lit(1)).over(ascending)
-    frame = frame.withColumn(
-        "_cost", F.sum(r).over(ascending) + (F.count(F.lit(1)).over(everyone) - at_or_below) * r
-    )
+    r, groups = F.col(room), F.count(F.lit(1))
+    # Units handed out if every group stopped at this group's room, and groups with more room.
+    frame = frame.withColumns(
+        {
+            "_amount": F.least(amount, F.sum(r).over(everyone)),
+            "_more": groups.over(everyone) - groups.over(ascending),
+            "_upto": F.sum(r).over(ascending),
+        }
+    ).withColumn("_cost", F.col("_upto") + F.col("_more") * r)
+    # The highest room that the amount fills for everyone who has it.
     full = F.col("_cost") <= F.col("_amount")
-    frame = frame.withColumn("_floor", F.coalesce(F.max(F.when(full, r)).over(everyone), F.lit(0)))
-    frame = frame.withColumn(
-        "_spent", F.sum(F.least(r, F.col("_floor"))).over(everyone)
-    ).withColumn("_open", F.count(F.when(r > F.col("_floor"), 1)).over(everyone))
-    level = F.col("_floor") + F.coalesce(
-        F.floor((F.col("_amount") - F.col("_spent")) / F.nullif(F.col("_open"), F.lit(0))), F.lit(0)
+
+    def at_full(fold, value: Column, none: Column) -> Column:
+        return F.coalesce(fold(F.when(full, value)).over(everyone), none)
+
+    frame = frame.withColumns(
+        {
+            "_floor": at_full(F.max, r, F.lit(0)),
+            "_spent": at_full(F.max, F.col("_cost"), F.lit(0)),
+            "_open": at_full(F.min, F.col("_more"), groups.over(everyone)),
+        }
     )
-    frame = frame.withColumn("_level", level.cast("bigint"))
-    frame = frame.withColumn(
-        "_left", F.col("_amount") - F.sum(F.least(r, F.col("_level"))).over(everyone)
+    rest = F.col("_amount") - F.col("_spent")
+    steps = F.coalesce(F.floor(rest / F.nullif(F.col("_open"), F.lit(0))), F.lit(0))
+    frame = frame.withColumn("_steps", steps.cast("bigint")).withColumns(
+        {
+            "_level": F.col("_floor") + F.col("_steps"),
+            "_left": rest - F.col("_steps") * F.col("_open"),
+        }
     )
     still_open = (r > F.col("_level")).cast("int")
     place = F.sum(still_open).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     extra = F.when((still_open == 1) & (place <= F.col("_left")), 1).otherwise(0)
-    return frame.withColumn(out, F.least(r, F.col("_level")) + extra).drop(
-        "_amount", "_cost", "_floor", "_spent", "_open", "_level", "_left"
+    dealt = F.least(r, F.col("_level")) + extra
+    return frame.withColumn(out, dealt).drop(
+        "_amount", "_more", "_upto", "_cost", "_floor", "_spent", "_open", "_steps", "_level", "_left"
     )
 
 
@@ -81,17 +93,32 @@ def allocate_quotas(
         raise ValueError(f"unknown fill order: {fill_order}")
     everyone = Window.partitionBy()
     n = F.col("n")
-    frame = counts.select(*keys, n).where(n > 0)
-    frame = frame.withColumn("_total", F.sum(n).over(everyone))
-    frame = frame.withColumn("_target", F.least(F.lit(int(target_rows)), F.col("_total")))
-    frame = frame.withColumn("_raw", n / F.col("_total") * F.col("_target"))
-    frame = frame.withColumn("_min", F.least(n, F.lit(int(min_per_group))))
-    share = F.floor("_raw").cast("bigint")
-    frame = frame.withColumn("_share", F.least(F.greatest(share, F.col("_min")), n))
-    frame = frame.withColumn("_sum", F.sum("_share").over(everyone))
-    frame = frame.withColumn("_over", F.col("_share") - F.col("_min"))
-    frame = frame.withColumn("_under", n - F.col("_share"))
-    frame = frame.withColumn("_fraction", F.col("_raw") - F.floor("_raw"))
+    total = F.sum(n).over(everyone)
+    goal = F.least(F.lit(int(target_rows)), F.col("_total"))
+    frame = (
+        counts.select(*keys, n)
+        .where(n > 0)
+        .withColumn("_total", total)
+        .withColumn("_target", goal)
+        .withColumns(
+            {
+                "_raw": n / F.col("_total") * F.col("_target"),
+                "_min": F.least(n, F.lit(int(min_per_group))),
+            }
+        )
+        .withColumn(
+            "_share",
+            F.least(F.greatest(F.floor("_raw").cast("bigint"), F.col("_min")), n),
+        )
+        .withColumns(
+            {
+                "_sum": F.sum("_share").over(everyone),
+                "_over": F.col("_share") - F.col("_min"),
+                "_under": n - F.col("_share"),
+                "_fraction": F.col("_raw") - F.floor("_raw"),
+            }
+        )
+    )
 
     names = [F.col(k) for k in keys]
     excess = F.greatest(F.col("_sum") - F.col("_target"), F.lit(0))
@@ -114,11 +141,11 @@ def choose_rows(
     seed: int = 42,
     one_pass_rows: int | None = None,
 ) -> DataFrame:
-    """The ``quota`` rows with the smallest scores of every group, with all their columns.
+    """The ``quota`` rows with the smallest scores of every group, with all columns of ``rows``.
 
-    Only keys, score and row id are looked at to find each group's last score; the rows
-    themselves are then filtered where they lie, so a group that holds most of the table costs
-    no shuffle of its rows. ``quotas`` must be a stored table (:func:`materialise`).
+    The last score of each group is looked up, then the rows are filtered where they lie: a group
+    that holds most of the table is never gathered anywhere. ``rows`` is read several times, so
+    it should be a narrow stored table; ``quotas`` must be stored as well.
     """
     keys = list(keys)
     limit = ONE_PASS_CELLS if one_pass_rows is None else one_pass_rows
@@ -127,7 +154,7 @@ def choose_rows(
     cells = scored.select(*keys, "_score", row_id, F.lit(1).cast("bigint").alias("_n"))
     total = quotas.agg(F.sum("n")).first()[0] or 0
     last = select_ranks(
-        cells.join(wanted.select(*keys), keys, "left_semi"),
+        cells,
         keys,
         "_score",
         lambda _: F.col("quota") - 1,
@@ -178,21 +205,29 @@ def sample_metadata(
 
 
 def representative_subset(
-    prepared: DataFrame,
+    records: DataFrame,
     row_id: str,
     target_rows: int = 300_000,
     min_per_group: int = 25,
     seed: int = 42,
     target: str = S.TARGET,
     fill_order: str = "smallest_remainder",
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
-    """The sampled rows in chronological order, and the sampling metadata."""
+    """The sampled rows in chronological order, and the sampling metadata.
+
+    Month, class and row id of every usable row are stored first; pruning leaves only the two
+    source columns they come from. Rows are chosen from that narrow table, and ``prepare`` cleans
+    all columns of the chosen rows alone.
+    """
     keys = (S.MONTH, target)
-    rows = sampling_rows(prepared, target)
-    counts = materialise(strata_counts(rows, keys), "strata")
+    rows = sampling_rows(prepare(records), target)
+    narrow = materialise(rows.select(*keys, row_id), "strata-rows")
+    counts = strata_counts(narrow, keys)
     quotas = materialise(
         allocate_quotas(counts, target_rows, min_per_group, keys, fill_order), "quotas"
     )
-    chosen = choose_rows(rows, quotas, row_id, keys, seed)
+    ids = materialise(choose_rows(narrow, quotas, row_id, keys, seed).select(row_id), "chosen")
+    chosen = sampling_rows(prepare(rows_with_ids(records, ids, row_id)), target)
     metadata = sample_metadata(quotas, target_rows, min_per_group, seed, keys)
     return chosen.orderBy(S.CREATED, row_id), metadata

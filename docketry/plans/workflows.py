@@ -40,9 +40,13 @@ def build_subset(
     """Raw CSV to a saved representative subset; returns the metadata row."""
     raw = tables.ingest(spark, csv_path, scratch_path(spark, "requests"))
     raw = tables.first_rows(raw, max_rows)
-    prepared = frames.prepare_base(raw, schema)
     subset, metadata = sampling.representative_subset(
-        prepared, tables.ROW_ID, target_rows, min_per_group, seed
+        raw,
+        tables.ROW_ID,
+        target_rows,
+        min_per_group,
+        seed,
+        prepare=lambda df: frames.prepare_base(df, schema),
     )
     tables.save_subset(subset, output_path, metadata)
     return metadata
@@ -135,10 +139,12 @@ def train_classification(
 ) -> ClassificationRun:
     """Compare classifiers on validation, refit the best on train + validation, test it once.
 
-    ``tagged`` has a ``split`` column. The test rows are scored once into a stored table, and
+    ``tagged`` has a ``split`` column; it is stored by split, so that every fit reads its own
+    part. The test rows are scored once into a stored table, and
     every report is an aggregate of it.
     """
     specs = classification_models(columns) if specs is None else specs
+    tagged = materialise(tagged, "tagged", by=["split"])
     sizes = frames.check_splits(tagged, target, min_labels=2)
     train, validation, test = (tagged.where(F.col("split") == s) for s in frames.SPLITS)
     # Labels are those of the training rows; an unseen label in validation is an error.
@@ -249,6 +255,7 @@ def train_regression(
 ) -> RegressionRun:
     """Compare regressors on validation, refit the best, and give conformal intervals on test."""
     specs = regression_models(columns) if specs is None else specs
+    tagged = materialise(tagged, "tagged", by=["split"])
     sizes = frames.check_splits(tagged, target)
     train, validation, test = (tagged.where(F.col("split") == s) for s in frames.SPLITS)
     results = compare_regressors(specs, train, validation, target, row_id)

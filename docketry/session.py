@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/docketry/{name}-{uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to a scratch table and read it back.
 
     Later passes read the table instead of repeating the work, a lost executor costs one file
     and not the lineage, and the file size is a true size: Catalyst broadcasts the table in a
-    join only when it is below ``spark.sql.autoBroadcastJoinThreshold``.
+    join only when it is below ``spark.sql.autoBroadcastJoinThreshold``. ``by`` partitions the
+    table for readers that take one part of it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+
+
+def spread_small(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
+    """Give every core a share of a small table that lies in fewer files than there are cores.
+
+    For work that costs much per row, such as text. Larger tables stay as they are: their scan
+    has splits enough, and a shuffle would cost more than it gains.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) < small_bytes else df
