@@ -9,7 +9,7 @@ from docketry.catalog import bindings as B
 from docketry.functions import text as TX
 from docketry.operators import features as FT
 from docketry.schema import FeatureColumns
-from docketry.session import materialise
+from docketry.session import materialise, small_table
 
 QUERIES, ORACLES, register = B.registrar()
 
@@ -197,4 +197,4 @@ def feature_view_combined(spark, sf_dir):
 )
 def feature_names(spark, sf_dir):
     view = FT.FeatureView.fit(_documents(spark, sf_dir), COLUMNS, "doc_id")
-    return spark.createDataFrame(list(enumerate(view.names)), "position bigint, name string")
+    return small_table(spark, list(enumerate(view.names)), "position bigint, name string")

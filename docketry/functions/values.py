@@ -21,7 +21,7 @@ def to_number(value: Column) -> Column:
     Spark also reads Java suffixes such as ``1.0d``; those are no numbers here. NaN counts as null.
     """
     text = value.cast("string")
-    number = F.when(~text.rlike(r"[dDfF]\s*$"), F.trim(text).try_cast("double"))
+    number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), F.trim(text).try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 

@@ -21,7 +21,7 @@ from docketry.operators.features import FeatureView
 from docketry.operators.metrics import argmax_label
 from docketry.operators.selection import select_ranks
 from docketry.schema import FeatureColumns
-from docketry.session import materialise
+from docketry.session import few_partitions, materialise, small_table
 
 PARALLEL_FITS = 4
 
@@ -119,7 +119,7 @@ def weight_rows(view: FeatureView, weights: dict) -> DataFrame:
         for group, values in weights.items()
         for name, value in zip(view.names, values)
     ]
-    return spark.createDataFrame(rows, "group string, feature string, coefficient double")
+    return small_table(spark, rows, "group string, feature string, coefficient double")
 
 
 @dataclass
@@ -157,7 +157,7 @@ class LogisticClassifier:
             probabilityCol="_probability",
             rawPredictionCol="_raw",
             predictionCol="_index",
-        ).fit(table)
+        ).fit(few_partitions(table))
         return LogisticModel(labels, view, model)
 
 
@@ -273,9 +273,8 @@ class CalibratedSvmModel:
             for c, (model, (slope, offset)) in enumerate(zip(fold.margins, fold.sigmoids)):
                 model.write().overwrite().save(f"{path}/margin-{f}-{c}")
                 rows.append((f, c, slope, offset))
-        spark.createDataFrame(rows, "fold int, class int, slope double, offset double").coalesce(
-            1
-        ).write.mode("overwrite").json(f"{path}/sigmoids")
+        schema = "fold int, class int, slope double, offset double"
+        small_table(spark, rows, schema).coalesce(1).write.mode("overwrite").json(f"{path}/sigmoids")
 
 
 def mean_coefficients(by_fold: DataFrame) -> DataFrame:
@@ -307,7 +306,8 @@ class CalibratedSvm:
         vectors = view.transform(train, "_features").select(row_id, target, "_features")
         # Stored once: every fold, class and solver pass reads this table.
         stored = materialise(vectors, "vectors")
-        table = materialise(stratified_folds(stored, target, row_id, self.folds), "folds")
+        folded = stratified_folds(stored, target, row_id, self.folds)
+        table = few_partitions(materialise(folded, "folds"))
         positives = labels[1:] if len(labels) == 2 else labels
         tasks = [(f, label) for f in range(self.folds) for label in positives]
         run = inheritable_thread_target(train.sparkSession)(

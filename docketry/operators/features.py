@@ -26,7 +26,7 @@ from docketry.functions import text as TX
 from docketry.functions.values import col_or_null
 from docketry.operators.selection import exact_quantile, value_cells
 from docketry.schema import FeatureColumns
-from docketry.session import materialise
+from docketry.session import materialise, small_table
 
 MAX_TERMS = 4_000
 MIN_DOCUMENTS = 5
@@ -312,9 +312,8 @@ class FeatureView:
             "has_text": self.text_model is not None,
             "has_codes": self.codes is not None,
         }
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/meta")
+        text = small_table(spark, [(json.dumps(meta),)], "meta string")
+        text.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
         if self.text_model is not None:
             self.text_model.write().overwrite().save(f"{path}/text")
         if self.codes is not None:

@@ -14,7 +14,7 @@ from docketry.models.classifiers import label_universe
 from docketry.models.registry import ModelSpec, classification_models, regression_models
 from docketry.operators import frames, metrics, sampling, uncertainty
 from docketry.schema import FeatureColumns, RecordSchema
-from docketry.session import materialise, scratch_path
+from docketry.session import materialise, scratch_path, small_table
 from docketry.sources import tables
 
 COMPARISON = (
@@ -118,7 +118,7 @@ def compare_classifiers(
             results.append((*head, "", *classification_scores(scored, target, labels).first()))
         except Exception as error:  # noqa: BLE001 - the comparison reports what failed
             results.append((*head, str(error), None, None, None, None, None))
-    return train.sparkSession.createDataFrame(results, COMPARISON)
+    return small_table(train.sparkSession, results, COMPARISON)
 
 
 def _spec(specs: Sequence[ModelSpec], name: str | None) -> ModelSpec:
@@ -219,7 +219,7 @@ def compare_regressors(
         model = spec.build().fit(train, target, row_id)
         scores = metrics.regression_metrics(model.transform(validation), target, "prediction").first()
         results.append((position, spec.name, spec.feature_view, "", *scores))
-    return train.sparkSession.createDataFrame(results, REGRESSION_COMPARISON)
+    return small_table(train.sparkSession, results, REGRESSION_COMPARISON)
 
 
 def conformal_run(

@@ -6,7 +6,10 @@ import tempfile
 from collections.abc import Sequence
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores: str = "*", name: str = "docketry") -> SparkSession:
@@ -54,6 +57,22 @@ def materialise(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows (fitted parameters, one row per model) as a local relation."""
+    struct = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in struct]
+    arrow = pa.Table.from_arrays(
+        [pa.array(c, t.type) for c, t in zip(columns, to_arrow_schema(struct))],
+        schema=to_arrow_schema(struct),
+    )
+    return spark.createDataFrame(arrow, struct)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimiser's size of a plan; for a stored table, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread_small(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
     """Give every core a share of a small table that lies in fewer files than there are cores.
 
@@ -61,7 +80,17 @@ def spread_small(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
     has splits enough, and a shuffle would cost more than it gains.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    if len(df.inputFiles()) >= cores or plan_bytes(df) >= small_bytes:
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < small_bytes else df
+    return df.repartition(cores)
+
+
+def few_partitions(stored: DataFrame, bytes_each: int = 4 << 20) -> DataFrame:
+    """A small stored table in as few partitions as its size needs.
+
+    For iterative fits, which run one job per step: on a small table the tasks themselves are
+    the cost. A table with a share for every core stays as it is.
+    """
+    wanted = 1 + plan_bytes(stored) // bytes_each
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.coalesce(wanted) if wanted < cores else stored
