@@ -307,7 +307,7 @@ class CalibratedSvm:
         # Stored once: every fold, class and solver pass reads this table.
         stored = materialise(vectors, "vectors")
         folded = stratified_folds(stored, target, row_id, self.folds)
-        table = few_partitions(materialise(folded, "folds"))
+        table = few_partitions(materialise(folded, "folds", by=["fold"]))
         positives = labels[1:] if len(labels) == 2 else labels
         tasks = [(f, label) for f in range(self.folds) for label in positives]
         run = inheritable_thread_target(train.sparkSession)(

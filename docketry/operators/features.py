@@ -35,6 +35,8 @@ RARE_BELOW = 20
 # Fixed value: the name of the shared column of rare categories.
 RARE_NAME = "infrequent_sklearn"
 
+CODES = "category string, n bigint, slot int, rare boolean, column string"
+
 
 # --- text -----------------------------------------------------------------------------------
 
@@ -231,7 +233,7 @@ class FeatureView:
                 view.text_model, view.terms = fitted
         if columns.categories:
             counts = category_counts(train, columns.categories)
-            view.codes = materialise(category_codes(counts, rare_below), "codes")
+            view.codes = materialise(category_codes(counts, rare_below), "codes", by=["column"])
             view._name_categories()
         if columns.numbers:
             rows = column_medians(train, columns.numbers).collect()
@@ -317,7 +319,7 @@ class FeatureView:
         if self.text_model is not None:
             self.text_model.write().overwrite().save(f"{path}/text")
         if self.codes is not None:
-            self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+            self.codes.write.mode("overwrite").partitionBy("column").parquet(f"{path}/codes")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureView:
@@ -327,6 +329,6 @@ class FeatureView:
         if meta["has_text"]:
             view.text_model = PipelineModel.load(f"{path}/text")
         if meta["has_codes"]:
-            view.codes = spark.read.parquet(f"{path}/codes")
+            view.codes = spark.read.schema(CODES).parquet(f"{path}/codes")
             view._name_categories()
         return view

@@ -58,7 +58,8 @@ def median_levels(
         "median",
         "n",
     )
-    return materialise(out, "medians")
+    # Stored by level, so that each join sees the true size of its own part.
+    return materialise(out, "medians", by=["level"])
 
 
 @dataclass(frozen=True)

@@ -127,20 +127,18 @@ def metrics_by_group(
     )
 
 
-def _label_index(label: Column, labels: Sequence) -> Column:
-    """1-based position in the label list; an unknown label is an error and not skipped."""
-    place = F.array_position(F.array(*[F.lit(v) for v in labels]), label)
-    message = F.concat(F.lit("label not in the label list: "), label.cast("string"))
-    return F.when(place > 0, place).otherwise(F.raise_error(message).cast("bigint"))
-
-
 def brier_term(actual: Column, probabilities: Column, labels: Sequence) -> Column:
-    """Squared distance between the probabilities and the actual label, for one row."""
-    place = _label_index(actual, labels)
-    gaps = F.transform(
-        probabilities, lambda p, i: p - F.when(i.cast("bigint") + 1 == place, 1.0).otherwise(0.0)
-    )
-    return F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
+    """Squared distance between the probabilities and the actual label, for one row.
+
+    Written out per label, which compiles to plain arithmetic. An actual label that is not in the
+    list is an error and not skipped.
+    """
+    total = F.lit(0.0)
+    for i, label in enumerate(labels):
+        gap = F.get(probabilities, F.lit(i)) - F.when(actual == F.lit(label), 1.0).otherwise(0.0)
+        total = total + gap * gap
+    message = F.concat(F.lit("label not in the label list: "), actual.cast("string"))
+    return F.when(actual.isin(*labels), total).otherwise(F.raise_error(message).cast("double"))
 
 
 def multiclass_brier(df: DataFrame, actual: str, probabilities: str, labels: Sequence) -> DataFrame:
