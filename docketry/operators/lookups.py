@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.text import key_or_missing
@@ -12,17 +12,14 @@ from docketry.functions.values import col_or_null
 from docketry.operators.selection import exact_quantile, value_cells
 from docketry.session import materialise
 
-# grouping_id over (first, second, value) -> level name; 1 bits mark the keys left out.
-LEVEL_NAMES = {0: "pair", 2: "first", 4: "second", 6: "all"}
-
-
 def median_levels(
     df: DataFrame, first: str, second: str, target: str, one_pass_cells: int | None = None
 ) -> DataFrame:
     """Exact medians per (first, second), first, second and overall, as one stored table.
 
-    The rows are reduced to distinct (first, second, value) counts once. All four levels come
-    from those counts, through grouping sets.
+    The rows are reduced to distinct (first, second, value) counts once. Every count then stands
+    for its row in all four levels; this happens within the row, so the passes of the rank
+    selection read the stored counts without another shuffle of them.
     """
     keyed = df.select(
         key_or_missing(col_or_null(df, first)).alias("first_key"),
@@ -30,18 +27,20 @@ def median_levels(
         F.col(target).cast("double").alias("value"),
     )
     cells = value_cells(keyed, ["first_key", "second_key"], "value")
-    sets = [["first_key", "second_key", "value"], ["first_key", "value"], ["second_key", "value"], ["value"]]
-    levels = cells.groupingSets(
-        [[F.col(c) for c in s] for s in sets], F.col("first_key"), F.col("second_key"), F.col("value")
-    ).agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_gid"))
-    name = F.create_map(*[F.lit(x) for kv in LEVEL_NAMES.items() for x in kv])
-    tagged = levels.select(
-        name[F.col("_gid").cast("int")].alias("level"),
-        F.coalesce("first_key", F.lit("")).alias("first_key"),
-        F.coalesce("second_key", F.lit("")).alias("second_key"),
-        "value",
-        "_n",
+
+    def as_level(name: str, first_key: Column, second_key: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("level"), first_key.alias("first_key"), second_key.alias("second_key")
+        )
+
+    a, b, none = F.col("first_key"), F.col("second_key"), F.lit("")
+    levels = F.array(
+        as_level("pair", a, b),
+        as_level("first", a, none),
+        as_level("second", none, b),
+        as_level("all", none, none),
     )
+    tagged = cells.select("value", "_n", F.inline(levels))
     medians = exact_quantile(
         tagged,
         ["level", "first_key", "second_key"],
