@@ -38,7 +38,9 @@ def to_timestamp(value: Column) -> Column:
 
 
 def month_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """``yyyy-MM``, from date parts: formatting would go through the session time zone."""
+    year = F.lpad(F.year(ts).cast("string"), 4, "0")
+    return F.concat(year, F.lit("-"), F.lpad(F.month(ts).cast("string"), 2, "0"))
 
 
 def calendar_parts(ts: Column) -> dict[str, Column]:
@@ -52,7 +54,18 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
 
 
 def duration_days(start: Column, end: Column) -> Column:
-    micros = F.timestamp_diff("MICROSECOND", start, end)
+    """Days between two zone-free timestamps.
+
+    Their difference is taken as an interval: ``timestampdiff`` would read both clocks in the
+    session time zone and be an hour off across a daylight-saving change.
+    """
+    gap = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), gap)
+
+    whole = part("DAY").cast("bigint") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60
+    micros = whole * 1_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
     return micros / F.lit(1e6) / F.lit(DAY_SECONDS)
 
 

@@ -127,3 +127,23 @@ def test_words_and_bigrams(spark):
     assert results(df, TX.words(F.col("x"))) == [["été", "12", "jours"], ["un"], [], []]
     pairs = results(df.select(TX.words(F.col("x")).alias("w")), TX.bigrams(F.col("w")))
     assert pairs == [["été 12", "12 jours"], [], [], []]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_durations_and_months_ignore_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        pairs = [
+            (datetime(2019, 3, 9, 12), datetime(2019, 3, 10, 12)),
+            (datetime(2019, 11, 1), datetime(2019, 11, 30, 6, 30, 15, 250000)),
+            (datetime(2019, 3, 11, 1, 2, 3, 4), datetime(2019, 3, 10, 2, 30)),
+            (datetime(2019, 3, 10, 2, 30), None),
+        ]
+        df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+        rows = df.select(V.duration_days(F.col("a"), F.col("b")), V.month_key(F.col("a"))).collect()
+        want = [None if b is None else (b - a).total_seconds() / 86400 for a, b in pairs]
+        assert [r[0] for r in rows] == want
+        assert [r[1] for r in rows] == ["2019-03", "2019-11", "2019-03", "2019-03"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
