@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +40,6 @@ def scratch(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-    import tempfile
-
     root = tempfile.mkdtemp(prefix="llm-")
     spark.sparkContext.setCheckpointDir(root)
     return root
@@ -49,3 +50,24 @@ def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     path = f"{scratch(df.sparkSession)}/llm/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the Python workers this package, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_docketry_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    # The driver serves the file to all executors; no other machine looks into this folder.
+    target = Path(tempfile.mkdtemp(prefix="docketry-")) / "docketry.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._docketry_shipped = True
+
+
+def arrow_udf(schema: str):
+    """``pandas_udf`` for functions that use this package."""
+    ship(SparkSession.active())
+    return F.pandas_udf(schema)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docketry.llm import chat_parts, url_globs
+from docketry.llm import bpe, chat_parts, fertility, quality_qda, url_globs, zstd_language
 
-MODULES = (url_globs, chat_parts)
+MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language)
 
 
 def queries() -> dict:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import table
+from docketry.llm.common import arrow_udf, table
 
 #: (verdict, host and path) of the contract's rules.
 RULES = (
@@ -152,7 +152,7 @@ def judge(
     verdicts = np.array([v for v, _ in rules], dtype=object)
     ranked = sorted(range(len(rules)), key=lambda i: len(rules[i][1]))
 
-    @F.pandas_udf("rule string, verdict string")
+    @arrow_udf("rule string, verdict string")
     def decide(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             fits = machine.matches(texts.tolist())
