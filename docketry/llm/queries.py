@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docketry.llm import bpe, chat_parts, fertility, quality_qda, url_globs, zstd_language
+from docketry.llm import bpe, chat_parts, fertility, quality_qda, toxic_crf, url_globs, zstd_language
 
-MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language)
+MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, toxic_crf)
 
 
 def queries() -> dict:
