@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from docketry.llm import bpe, chat_parts, fertility, quality_qda, toxic_crf, url_globs, zstd_language
+from docketry.llm import (
+    bpe,
+    chat_parts,
+    fertility,
+    quality_qda,
+    toxic_crf,
+    url_globs,
+    var_packing,
+    zstd_language,
+)
 
-MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, toxic_crf)
+MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, var_packing, toxic_crf)
 
 
 def queries() -> dict:
