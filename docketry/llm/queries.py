@@ -10,10 +10,11 @@ from docketry.llm import (
     toxic_crf,
     url_globs,
     var_packing,
+    vertical_jaccard,
     zstd_language,
 )
 
-MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, var_packing, toxic_crf)
+MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, vertical_jaccard, var_packing, toxic_crf)
 
 
 def queries() -> dict:
