@@ -6,6 +6,7 @@ from docketry.llm import (
     bpe,
     chat_parts,
     fertility,
+    learned_partitions,
     quality_qda,
     toxic_crf,
     url_globs,
@@ -14,7 +15,18 @@ from docketry.llm import (
     zstd_language,
 )
 
-MODULES = (quality_qda, bpe, url_globs, fertility, chat_parts, zstd_language, vertical_jaccard, var_packing, toxic_crf)
+MODULES = (
+    quality_qda,
+    bpe,
+    learned_partitions,
+    url_globs,
+    fertility,
+    chat_parts,
+    zstd_language,
+    vertical_jaccard,
+    var_packing,
+    toxic_crf,
+)
 
 
 def queries() -> dict:
