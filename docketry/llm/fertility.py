@@ -137,7 +137,7 @@ class PieceCounter:
     def learn(self, words: list[str]) -> None:
         if len(self.place) > MEMORY_WORDS:
             self.clear()
-        words = [w for w in words if w not in self.place]
+        words = [w for w in dict.fromkeys(words) if w not in self.place]
         if not words:
             return
         found = self.model.encode(words, num_threads=1)
