@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from docketry import schema as S
 from docketry.operators import frames
 from docketry.schema import RecordSchema
-from docketry.session import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +61,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 # --- orders as records for sampling ---------------------------------------------------------

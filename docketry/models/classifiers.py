@@ -21,7 +21,7 @@ from docketry.operators.features import FeatureView
 from docketry.operators.metrics import argmax_label
 from docketry.operators.selection import select_ranks
 from docketry.schema import FeatureColumns
-from docketry.session import few_partitions, materialise, small_table
+from docketry.session import materialise, small_table
 
 PARALLEL_FITS = 4
 
@@ -157,7 +157,7 @@ class LogisticClassifier:
             probabilityCol="_probability",
             rawPredictionCol="_raw",
             predictionCol="_index",
-        ).fit(few_partitions(table))
+        ).fit(table)
         return LogisticModel(labels, view, model)
 
 
@@ -182,7 +182,6 @@ def stratified_folds(
     label: str,
     order_by: str,
     folds: int = 3,
-    one_pass_cells: int | None = None,
 ) -> DataFrame:
     """``df`` with ``fold``: consecutive stretches of every class, in ``order_by`` order.
 
@@ -204,8 +203,6 @@ def stratified_folds(
             order_by,
             rank,
             rank,
-            cell_count=sum(r["n"] for r in classes),
-            one_pass_cells=one_pass_cells,
         ).collect()
         ends = {r[label]: r[order_by] for r in last}
         fold = fold + (F.col(order_by) > _per_label(F.col(label), ends)).cast("int")
@@ -307,7 +304,7 @@ class CalibratedSvm:
         # Stored once: every fold, class and solver pass reads this table.
         stored = materialise(vectors, "vectors")
         folded = stratified_folds(stored, target, row_id, self.folds)
-        table = few_partitions(materialise(folded, "folds", by=["fold"]))
+        table = materialise(folded, "folds", by=["fold"])
         positives = labels[1:] if len(labels) == 2 else labels
         tasks = [(f, label) for f in range(self.folds) for label in positives]
         run = inheritable_thread_target(train.sparkSession)(

@@ -186,7 +186,7 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> Data
 
 
 def column_medians(
-    df: DataFrame, columns: Sequence[str], one_pass_cells: int | None = None
+    df: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """``(column, median)`` of several number columns, exact; an all-null column is left out."""
     pairs = F.array(
@@ -197,7 +197,7 @@ def column_medians(
     )
     cells = value_cells(df.select(F.inline(pairs)), ["column"], "value")
     return exact_quantile(
-        cells, ["column"], "value", 0.5, "median", one_pass_cells=one_pass_cells
+        cells, ["column"], "value", 0.5, "median"
     ).select("column", "median")
 
 

@@ -1,8 +1,9 @@
 """Exact order statistics of groups of any size.
 
-A group may hold most of a table, so no step sorts a whole group in one task. The values are
-counted in monotone buckets, only the bucket that holds the wanted rank is opened, and the last
-step sorts what is left of it.
+A group may hold most of a table, so no step sorts a whole group in one task. The values are sorted by
+range over all tasks, with bounds that Spark takes from the data, so crowded values are split like any others. Each
+part counts its rows per group, prefix sums over the parts tell which part holds a wanted rank, and only those
+parts are ranked within.
 """
 
 from __future__ import annotations
@@ -14,22 +15,9 @@ from pyspark.sql import functions as F
 
 from docketry.session import materialise
 
-# Up to this many cells a single task sorts everything, so opening buckets would only cost passes.
-ONE_PASS_CELLS = 2_000_000
-
-# log2 of the buckets per e-fold, from coarse to fine. Each finer bucket lies inside a coarser one.
-LEVELS = (8, 20)
-
 Rank = Callable[[Column], Column]
 
 
-def order_bucket(value: Column, bits: int) -> Column:
-    """A bucket number that never falls as the value rises."""
-    number = value.cast("double")
-    depth = F.floor(F.log1p(F.abs(number)) * F.lit(float(1 << bits))).cast("bigint")
-    return F.when(number < 0, -depth).otherwise(depth)
-
-
 def value_cells(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per group with their row count ``_n``, as a scratch table."""
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
@@ -43,75 +31,53 @@ def select_ranks(
     low: Rank,
     high: Rank,
     *,
-    cell_count: int,
     tiebreak: Sequence[str] = (),
     targets: DataFrame | None = None,
-    one_pass_cells: int | None = None,
 ) -> DataFrame:
     """The cells of every group that hold its 0-based ranks ``low`` to ``high``.
 
-    ``low`` and ``high`` map the group's row count to a rank; they may use columns of
-    ``targets``, which has one row per group. The keys must not be null. The result has the keys, the value, the tie-break columns, ``_n``, ``_before`` (rows ranked before the
-    cell), ``_low``, ``_high`` and ``_total`` (rows of the group).
+    ``low`` and ``high`` map the group's row count to a rank; they may use columns of ``targets``, which has one
+    row per group. The keys must not be null. The result has the keys, the value, the tie-break columns, ``_n``,
+    ``_before`` (rows ranked before the cell), ``_low``, ``_high`` and ``_total`` (rows of the group).
+
+    The number of parts is ``spark.sql.shuffle.partitions``, whatever the size. The prefix sums run over one row
+    per part and group, so their largest window has as many rows as there are parts.
     """
-    keys = list(keys)
-    limit = ONE_PASS_CELLS if one_pass_cells is None else one_pass_cells
+    keys, order = list(keys), [value, *tiebreak]
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     earlier = (Window.unboundedPreceding, -1)
+    placed = materialise(
+        cells.select(*keys, *order, "_n")
+        .repartitionByRange(parts, *keys, *order)
+        .withColumn("_part", F.spark_partition_id()),
+        "placed",
+    )
 
-    def add_ranks(frame: DataFrame) -> DataFrame:
-        total = F.sum("_n").over(Window.partitionBy(*keys))
-        extra = []
-        if targets is not None:
-            extra = [c for c in targets.columns if c not in keys]
-            frame = frame.join(targets, keys)
-        return (
-            frame.withColumn("_total", total)
-            .withColumn("_low", low(F.col("_total")).cast("bigint"))
-            .withColumn("_high", high(F.col("_total")).cast("bigint"))
-            .drop(*extra)
-        )
-
-    def holding(frame: DataFrame) -> DataFrame:
-        return frame.where(
-            (F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_n") > F.col("_low"))
-        )
-
-    def running(by: list[str], order: list[str]) -> Column:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*earlier)
-        return F.coalesce(F.sum("_n").over(window), F.lit(0))
-
-    order = [value, *tiebreak]
-    if cell_count <= limit:
-        ranked = add_ranks(cells.select(*keys, *order, "_n"))
-        return holding(ranked.withColumn("_before", running(keys, order)))
-
-    ranks = ["_low", "_high", "_total"]
-    scope, by, coarse = cells.select(*keys, *order, "_n"), keys, None
-    for bits in LEVELS:
-        bucket = f"_bucket{bits}"
-        carried = ["_base", *ranks] if coarse else []
-        counted = materialise(
-            scope.withColumn(bucket, order_bucket(F.col(value), bits))
-            .groupBy(*by, *carried, bucket)
-            .agg(F.sum("_n").alias("_n")),
-            "histogram",
-        )
-        if coarse is None:
-            counted = add_ranks(counted).withColumn("_base", F.lit(0).cast("bigint"))
-        picked = materialise(
-            holding(
-                counted.withColumn("_before", F.col("_base") + running(by, [bucket]))
-            ).select(*keys, bucket, F.col("_before").alias("_base"), *ranks),
-            "picked",
-        )
-        scope = (
-            cells.select(*keys, *order, "_n")
-            .withColumn(bucket, order_bucket(F.col(value), bits))
-            .join(picked, [*keys, bucket])
-        )
-        by, coarse = [*keys, bucket], bucket
-    final = scope.withColumn("_before", F.col("_base") + running(by, order))
-    return holding(final).select(*keys, *order, "_n", *ranks, "_before")
+    def running(rows: str, by: list[str], order_by: list[str]) -> Column:
+        window = Window.partitionBy(*by).orderBy(*order_by).rowsBetween(*earlier)
+        return F.coalesce(F.sum(rows).over(window), F.lit(0))
+
+    counted = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_rows"))
+    summed = counted.withColumns(
+        {
+            "_total": F.sum("_rows").over(Window.partitionBy(*keys)),
+            "_base": running("_rows", keys, ["_part"]),
+        }
+    )
+    extra = []
+    if targets is not None:
+        extra = [c for c in targets.columns if c not in keys]
+        summed = summed.join(targets, keys)
+    wanted = (
+        summed.withColumn("_low", low(F.col("_total")).cast("bigint"))
+        .withColumn("_high", high(F.col("_total")).cast("bigint"))
+        .drop(*extra)
+        .where((F.col("_base") <= F.col("_high")) & (F.col("_base") + F.col("_rows") > F.col("_low")))
+    )
+    opened = placed.join(materialise(wanted.drop("_rows"), "picked"), [*keys, "_part"])
+    ranked = opened.withColumn("_before", F.col("_base") + running("_n", [*keys, "_part"], order))
+    holds = (F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_n") > F.col("_low"))
+    return ranked.where(holds).select(*keys, *order, "_n", "_low", "_high", "_total", "_before")
 
 
 def exact_quantile(
@@ -120,12 +86,8 @@ def exact_quantile(
     value: str,
     p: float,
     out: str,
-    *,
-    cell_count: int | None = None,
-    one_pass_cells: int | None = None,
 ) -> DataFrame:
     """The interpolated ``p``-quantile of every group of ``cells`` (see :func:`value_cells`)."""
-    count = cells.count() if cell_count is None else cell_count
     position = lambda n: (n - 1) * F.lit(float(p))
     found = select_ranks(
         cells,
@@ -133,8 +95,6 @@ def exact_quantile(
         value,
         lambda n: F.floor(position(n)),
         lambda n: F.ceil(position(n)),
-        cell_count=count,
-        one_pass_cells=one_pass_cells,
     )
     # The share of the upper neighbour follows from the group's size.
     share = position(F.col("n")) - F.floor(position(F.col("n")))
@@ -144,11 +104,7 @@ def exact_quantile(
     return ends.select(*keys, (F.col("_a") * (1 - share) + F.col("_b") * share).alias(out), "n")
 
 
-def exact_rank(
-    cells: DataFrame, value: str, rank: Rank, out: str, *, one_pass_cells: int | None = None
-) -> DataFrame:
+def exact_rank(cells: DataFrame, value: str, rank: Rank, out: str) -> DataFrame:
     """The value at one 0-based rank of the whole table."""
-    found = select_ranks(
-        cells, [], value, rank, rank, cell_count=cells.count(), one_pass_cells=one_pass_cells
-    )
+    found = select_ranks(cells, [], value, rank, rank)
     return found.select(F.col(value).alias(out), (F.col("_low")).alias("rank"))

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-def local_session(cores: str = "*", name: str = "docketry") -> SparkSession:
+def local_session(
+    cores: str = "*", name: str = "docketry", checkpoint_dir: str | None = None
+) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -22,8 +24,10 @@ def local_session(cores: str = "*", name: str = "docketry") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -66,31 +70,3 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
         schema=to_arrow_schema(struct),
     )
     return spark.createDataFrame(arrow, struct)
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimiser's size of a plan; for a stored table, the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
-    """Give every core a share of a small table that lies in fewer files than there are cores.
-
-    For work that costs much per row, such as text. Larger tables stay as they are: their scan
-    has splits enough, and a shuffle would cost more than it gains.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or plan_bytes(df) >= small_bytes:
-        return df
-    return df.repartition(cores)
-
-
-def few_partitions(stored: DataFrame, bytes_each: int = 4 << 20) -> DataFrame:
-    """A small stored table in as few partitions as its size needs.
-
-    For iterative fits, which run one job per step: on a small table the tasks themselves are
-    the cost. A table with a share for every core stays as it is.
-    """
-    wanted = 1 + plan_bytes(stored) // bytes_each
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    return stored.coalesce(wanted) if wanted < cores else stored

@@ -5,9 +5,8 @@ from docketry.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("4", "tests")
-    # Tests keep their scratch tables to themselves.
+    # Tests keep their scratch tables to themselves, also where the machine sets a folder.
+    session = local_session("4", "tests", str(tmp_path_factory.mktemp("scratch")))
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()

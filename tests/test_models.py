@@ -77,9 +77,8 @@ def test_fold_sizes_like_round_robin():
         assert C.fold_sizes(counts, 3) == want
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_folds_are_consecutive_per_class(points, limit):
-    folded = C.stratified_folds(points, "k", "id", 3, one_pass_cells=limit)
+def test_folds_are_consecutive_per_class(points):
+    folded = C.stratified_folds(points, "k", "id", 3)
     for label, sizes in zip("abc", C.fold_sizes([120, 60, 40], 3)):
         folds = [r["fold"] for r in folded.where(F.col("k") == label).orderBy("id").collect()]
         assert folds == sorted(folds)

@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from docketry.operators.selection import (
     exact_quantile,
     exact_rank,
-    order_bucket,
     select_ranks,
     value_cells,
 )
 
-LIMITS = [None, 0]  # one sort, and the bucket passes
-
-
 @pytest.fixture(scope="module")
 def values():
     rng = random.Random(5)
@@ -26,11 +22,10 @@ def values():
     return rows
 
 
-@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("p", [0.5, 0.25, 0.9])
-def test_grouped_quantiles(spark, values, limit, p):
+def test_grouped_quantiles(spark, values, p):
     cells = value_cells(spark.createDataFrame(values, "g string, v double"), ["g"], "v")
-    found = exact_quantile(cells, ["g"], "v", p, "q", one_pass_cells=limit)
+    found = exact_quantile(cells, ["g"], "v", p, "q")
     got = {r["g"]: (r["q"], r["n"]) for r in found.collect()}
     for group in {g for g, _ in values}:
         numbers = sorted(v for g, v in values if g == group)
@@ -41,43 +36,45 @@ def test_grouped_quantiles(spark, values, limit, p):
         assert got[group][1] == len(numbers)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_median_of_whole_table(spark, values, limit):
+def test_median_of_whole_table(spark, values):
     numbers = [v for _, v in values]
     cells = value_cells(spark.createDataFrame(values, "g string, v double"), [], "v")
-    found = exact_quantile(cells, [], "v", 0.5, "q", one_pass_cells=limit).first()
+    found = exact_quantile(cells, [], "v", 0.5, "q").first()
     assert found["q"] == pytest.approx(statistics.median(numbers), rel=1e-12)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_every_rank(spark, limit):
+def test_every_rank(spark):
     numbers = [-3.0, -0.001, 0.0, 0.001, 0.5, 2.0, 2.0, 7.0]
     cells = value_cells(spark.createDataFrame([(n,) for n in numbers], "v double"), [], "v")
     for k in range(len(numbers)):
-        found = exact_rank(cells, "v", lambda n, k=k: F.lit(k), "x", one_pass_cells=limit).first()
+        found = exact_rank(cells, "v", lambda n, k=k: F.lit(k), "x").first()
         assert found["x"] == sorted(numbers)[k]
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_tied_values_fall_back_to_the_tiebreak(spark, limit):
+def test_tied_values_fall_back_to_the_tiebreak(spark):
     rows = [("a", 0.5, i) for i in range(50)]
     cells = spark.createDataFrame(rows, "g string, v double, id bigint").withColumn(
         "_n", F.lit(1).cast("bigint")
     )
     found = select_ranks(
         cells, ["g"], "v", lambda _: F.lit(9), lambda _: F.lit(9),
-        cell_count=50, tiebreak=["id"], one_pass_cells=limit,
+        tiebreak=["id"],
     )
     assert [r["id"] for r in found.collect()] == [9]
 
 
-def test_buckets_never_fall(spark):
-    rng = random.Random(1)
-    numbers = sorted(rng.choice([-1, 1]) * 10 ** rng.uniform(-12, 300) for _ in range(2000))
-    df = spark.createDataFrame(list(enumerate(numbers)), "i int, v double")
-    for bits in (8, 20):
-        buckets = [r[0] for r in df.orderBy("i").select(order_bucket(F.col("v"), bits)).collect()]
-        assert buckets == sorted(buckets)
+@pytest.mark.parametrize("number", [lambda i: i * 1e-12, lambda i: 1.7e9 + i / 100])
+def test_crowded_values_are_split(spark, number):
+    """100,000 close values: the median is exact, and no part of the sorted cells holds them all."""
+    n = 100_001
+    rows = spark.range(n).select(
+        (F.col("id") * 1e-12 if number(1) < 1 else F.lit(1.7e9) + F.col("id") / 100).alias("v")
+    )
+    cells = value_cells(rows, [], "v")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = cells.repartitionByRange(parts, "v").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 0.5 * n
+    assert exact_quantile(cells, [], "v", 0.5, "q").first()["q"] == pytest.approx(number(n // 2), rel=1e-12)
 
 
 def test_nulls_and_nan_are_left_out(spark):
