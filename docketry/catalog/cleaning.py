@@ -75,6 +75,24 @@ def row_id_assign(spark, sf_dir):
     return tables.with_row_id(orders, ["o_orderdate", "o_orderkey"])
 
 
+@register(
+    "row_id_files",
+    """SELECT row_number() OVER (ORDER BY part, o_orderkey) - 1 AS row_id, o_orderkey, part
+       FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'a' WHEN o_orderkey % 10 < 8 THEN 'b' ELSE 'c' END AS part
+             FROM orders)""",
+)
+def row_id_files(spark, sf_dir):
+    """Row ids follow the files' names and the rows in them, whatever the files' sizes."""
+    path = scratch_path(spark, "files")
+    key = F.col("o_orderkey")
+    part = F.when(key % 10 == 0, "a").when(key % 10 < 8, "b").otherwise("c")
+    orders = B.table(spark, sf_dir, "orders").select("o_orderkey", part.alias("part"))
+    sorted_rows = orders.repartitionByRange("part", "o_orderkey").sortWithinPartitions("part", "o_orderkey")
+    sorted_rows.write.partitionBy("part").csv(path)
+    scanned = spark.read.schema("o_orderkey bigint, part string").csv(path)
+    return tables.with_row_id(scanned)
+
+
 @register(
     "limit_first_rows",
     "SELECT * FROM (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_id, o_orderkey "

@@ -103,6 +103,37 @@ def regression_metrics(spark, sf_dir):
     return B.rounded(metrics.regression_metrics(scored, S.DURATION, "prediction"))
 
 
+# A borough whose targets are all null: its pairs and its own level still match, with a null median.
+NO_TARGET = "BUILDING"
+NULLED_SQL = PREDICTED_SQL.replace("FROM durations", "FROM known").replace("count(*) AS n", "count(days) AS n").replace(
+    "medians AS (",
+    f"known AS (SELECT * REPLACE (CASE WHEN borough <> '{NO_TARGET}' THEN days END AS days) FROM durations),\nmedians AS (",
+)
+
+
+@register(
+    "median_lookup_null_key",
+    NULLED_SQL
+    + """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, borough, prediction FROM predicted
+         UNION ALL SELECT NULL, NULL, NULL, n, level || '|' || coalesce(first_key, '') || '|' || coalesce(second_key, ''),
+         median FROM medians""",
+)
+def median_lookup_null_key(spark, sf_dir):
+    """Predictions, and below them the levels of the fitted table."""
+    records = _stored(spark, sf_dir)
+    target = F.when(F.col("ARRONDISSEMENT") != NO_TARGET, F.col(S.DURATION))
+    records = records.withColumn(S.DURATION, target)
+    lookup = MedianLookup.fit(records.where("split = 'train'"), *KEYS, S.DURATION)
+    scored = lookup.transform(records).select(*B.LINE_KEY, F.col("ARRONDISSEMENT").alias("borough"), "prediction")
+    none = F.lit(None).cast("bigint")
+    name = F.concat_ws("|", "level", F.coalesce("first_key", F.lit("")), F.coalesce("second_key", F.lit("")))
+    levels = lookup.table.select(
+        *[none.alias(c) for c in B.LINE_KEY[:3]], F.col("n").alias(B.LINE_KEY[3]), name.alias("borough"),
+        F.col("median").alias("prediction"),
+    )
+    return scored.unionByName(levels)
+
+
 # --- intervals ------------------------------------------------------------------------------
 
 
@@ -158,6 +189,25 @@ def interval_metrics(spark, sf_dir):
     return B.rounded(uncertainty.interval_metrics(_intervals(spark, sf_dir)))
 
 
+@register(
+    "interval_metrics_nan",
+    INTERVAL_SQL
+    + """, marked AS (SELECT CASE WHEN l_linenumber = 1 THEN 'NaN'::DOUBLE ELSE lower_bound END AS lower_bound,
+         CASE WHEN l_linenumber = 1 THEN 'NaN'::DOUBLE ELSE upper_bound END AS upper_bound, covered, l_linenumber FROM intervals)
+       SELECT round(avg((covered AND l_linenumber <> 1)::INTEGER), 6) AS coverage,
+              round(avg(upper_bound - lower_bound), 6) AS mean_interval_width,
+              round(median(upper_bound - lower_bound) FILTER (l_linenumber <> 1), 6) AS median_interval_width FROM marked""",
+)
+def interval_metrics_nan(spark, sf_dir):
+    """A third of the predictions is not a number: those rows are not covered, and the mean width is no number."""
+    scored = materialise(_predicted(spark, sf_dir), "scored")
+    radius = _radius(scored)
+    broken = F.when(F.col("l_linenumber") == 1, F.lit(float("nan"))).otherwise(F.col("prediction"))
+    test = scored.where("split = 'test'").withColumn("prediction", broken)
+    intervals = uncertainty.interval_table(test, S.DURATION, "prediction", radius)
+    return B.rounded(uncertainty.interval_metrics(intervals))
+
+
 HEAD_SQL = """(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, days AS actual, prediction, lower_bound,
                upper_bound, covered FROM intervals ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT {n})"""
 

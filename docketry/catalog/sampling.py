@@ -86,9 +86,9 @@ chosen AS (SELECT o_orderkey, o_orderdate AS creation_ts, r.sample_month, r."NAT
 """
 
 
-def _sample(spark, sf_dir):
+def _sample(spark, sf_dir, max_rows=None):
     return SM.representative_subset(
-        B.order_records(spark, sf_dir), "o_orderkey", TARGET_ROWS, MINIMUM, SEED
+        B.order_records(spark, sf_dir), "o_orderkey", TARGET_ROWS, MINIMUM, SEED, max_rows=max_rows
     )
 
 
@@ -108,18 +108,24 @@ def sample_rows_semi(spark, sf_dir):
     return SM.rows_with_ids(orders, ids, "o_orderkey").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+# A cap beyond the table: every row counts, and the metadata names the cap.
+CAP = 1_000_000_000_000
+
+
 @register(
     "sample_metadata",
     SAMPLE_SQL
-    + f"""SELECT sum(n)::BIGINT AS source_rows_with_valid_time_and_nature, sum(quota)::BIGINT AS sampled_rows,
-          {TARGET_ROWS}::INTEGER AS target_rows, {MINIMUM}::INTEGER AS min_per_group, {SEED}::INTEGER AS random_state,
-          NULL::BIGINT AS max_rows, count(*) AS n_groups FROM quotas""",
+    + f"""SELECT (SELECT sum(n) FROM quotas)::BIGINT AS source_rows_with_valid_time_and_nature,
+          (SELECT sum(quota) FROM quotas)::BIGINT AS sampled_rows, {TARGET_ROWS}::INTEGER AS target_rows,
+          {MINIMUM}::INTEGER AS min_per_group, {SEED}::INTEGER AS random_state, {CAP}::BIGINT AS max_rows,
+          sample_month || '|' || "NATURE_TARGET" AS group_name, n::BIGINT AS n, quota::BIGINT AS quota FROM quotas""",
 )
 def sample_metadata(spark, sf_dir):
-    metadata = _sample(spark, sf_dir)[1]
-    return metadata.withColumn("n_groups", F.size("monthly_nature_counts").cast("bigint")).drop(
-        "monthly_nature_counts", "monthly_nature_sampled_counts"
-    )
+    """Metadata of a capped sample, with one row for each entry of its two maps."""
+    metadata = _sample(spark, sf_dir, max_rows=CAP)[1]
+    counts, sampled = "monthly_nature_counts", "monthly_nature_sampled_counts"
+    entries = metadata.select("*", F.explode(counts).alias("group_name", "n"))
+    return entries.withColumn("quota", F.element_at(sampled, F.col("group_name"))).drop(counts, sampled)
 
 
 @register(

@@ -9,24 +9,26 @@ from pyspark.sql import functions as F
 
 from docketry.functions.text import key_or_missing
 from docketry.functions.values import col_or_null
-from docketry.operators.selection import exact_quantile, value_cells
+from docketry.operators.selection import exact_quantile
 from docketry.session import materialise
 
-def median_levels(
-    df: DataFrame, first: str, second: str, target: str, one_pass_cells: int | None = None
-) -> DataFrame:
+
+def median_levels(df: DataFrame, first: str, second: str, target: str) -> DataFrame:
     """Exact medians per (first, second), first, second and overall, as one stored table.
 
     The rows are reduced to distinct (first, second, value) counts once. Every count then stands
     for its row in all four levels; this happens within the row, so the passes of the rank
-    selection read the stored counts without another shuffle of them.
+    selection read the stored counts without another shuffle of them. A key whose targets are all
+    null is in the table too, with a null median and ``n`` 0.
     """
     keyed = df.select(
         key_or_missing(col_or_null(df, first)).alias("first_key"),
         key_or_missing(col_or_null(df, second)).alias("second_key"),
         F.col(target).cast("double").alias("value"),
     )
-    cells = value_cells(keyed, ["first_key", "second_key"], "value")
+    counts = materialise(
+        keyed.groupBy("first_key", "second_key", "value").agg(F.count(F.lit(1)).alias("_n")), "cells"
+    )
 
     def as_level(name: str, first_key: Column, second_key: Column) -> Column:
         return F.struct(
@@ -40,22 +42,16 @@ def median_levels(
         as_level("second", none, b),
         as_level("all", none, none),
     )
-    tagged = cells.select("value", "_n", F.inline(levels))
-    medians = exact_quantile(
-        tagged,
-        ["level", "first_key", "second_key"],
-        "value",
-        0.5,
-        "median",
-        cell_count=4 * cells.count(),
-        one_pass_cells=one_pass_cells,
-    )
-    out = medians.select(
+    keys = ["level", "first_key", "second_key"]
+    cells = counts.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    medians = exact_quantile(cells.select("value", "_n", F.inline(levels)), keys, "value", 0.5, "median")
+    seen = counts.select("first_key", "second_key").distinct().select(F.inline(levels)).distinct()
+    out = seen.join(medians, keys, "left").select(
         "level",
         F.when(F.col("level").isin("pair", "first"), F.col("first_key")).alias("first_key"),
         F.when(F.col("level").isin("pair", "second"), F.col("second_key")).alias("second_key"),
         "median",
-        "n",
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
     # Stored by level, so that each join sees the true size of its own part.
     return materialise(out, "medians", by=["level"])
@@ -70,10 +66,8 @@ class MedianLookup:
     table: DataFrame
 
     @classmethod
-    def fit(
-        cls, df: DataFrame, first: str, second: str, target: str, one_pass_cells: int | None = None
-    ) -> MedianLookup:
-        return cls(first, second, median_levels(df, first, second, target, one_pass_cells))
+    def fit(cls, df: DataFrame, first: str, second: str, target: str) -> MedianLookup:
+        return cls(first, second, median_levels(df, first, second, target))
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Three left joins on the stored table. A key that matches wins even if its median is

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docketry import schema as S
 from docketry.functions.values import month_key, random_score
 from docketry.operators.frames import classification_rows
-from docketry.operators.selection import ONE_PASS_CELLS, select_ranks
+from docketry.operators.selection import select_ranks
 from docketry.session import materialise
 
 STRATUM = (S.MONTH, S.TARGET)
@@ -139,7 +139,6 @@ def choose_rows(
     row_id: str,
     keys: Sequence[str] = STRATUM,
     seed: int = 42,
-    one_pass_rows: int | None = None,
 ) -> DataFrame:
     """The ``quota`` rows with the smallest scores of every group, with all columns of ``rows``.
 
@@ -148,21 +147,17 @@ def choose_rows(
     it should be a narrow stored table; ``quotas`` must be stored as well.
     """
     keys = list(keys)
-    limit = ONE_PASS_CELLS if one_pass_rows is None else one_pass_rows
     scored = rows.withColumn("_score", random_score(seed, F.col(row_id)))
     wanted = quotas.where(F.col("quota") > 0).select(*keys, "quota")
     cells = scored.select(*keys, "_score", row_id, F.lit(1).cast("bigint").alias("_n"))
-    total = quotas.agg(F.sum("n")).first()[0] or 0
     last = select_ranks(
         cells,
         keys,
         "_score",
         lambda _: F.col("quota") - 1,
         lambda _: F.col("quota") - 1,
-        cell_count=total,
         tiebreak=[row_id],
         targets=wanted,
-        one_pass_cells=limit,
     )
     last = materialise(
         last.select(*keys, F.col("_score").alias("_last"), F.col(row_id).alias("_last_id")), "last"
@@ -213,12 +208,14 @@ def representative_subset(
     target: str = S.TARGET,
     fill_order: str = "smallest_remainder",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    max_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The sampled rows in chronological order, and the sampling metadata.
 
     Month, class and row id of every usable row are stored first; pruning leaves only the two
     source columns they come from. Rows are chosen from that narrow table, and ``prepare`` cleans
-    all columns of the chosen rows alone.
+    all columns of the chosen rows alone. ``max_rows`` is the cap that ``records`` were read with,
+    for the metadata.
     """
     keys = (S.MONTH, target)
     rows = sampling_rows(prepare(records), target)
@@ -229,5 +226,5 @@ def representative_subset(
     )
     ids = materialise(choose_rows(narrow, quotas, row_id, keys, seed).select(row_id), "chosen")
     chosen = sampling_rows(prepare(rows_with_ids(records, ids, row_id)), target)
-    metadata = sample_metadata(quotas, target_rows, min_per_group, seed, keys)
+    metadata = sample_metadata(quotas, target_rows, min_per_group, seed, keys, max_rows)
     return chosen.orderBy(S.CREATED, row_id), metadata

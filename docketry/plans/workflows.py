@@ -47,6 +47,7 @@ def build_subset(
         min_per_group,
         seed,
         prepare=lambda df: frames.prepare_base(df, schema),
+        max_rows=max_rows,
     )
     tables.save_subset(subset, output_path, metadata)
     return metadata

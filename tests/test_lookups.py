@@ -13,10 +13,10 @@ ROWS = (
 )
 
 
-@pytest.fixture(scope="module", params=[None, 0])
-def lookup(spark, request):
+@pytest.fixture(scope="module")
+def lookup(spark):
     train = spark.createDataFrame(ROWS, "k string, g string, y double")
-    return MedianLookup.fit(train, "k", "g", "y", one_pass_cells=request.param)
+    return MedianLookup.fit(train, "k", "g", "y")
 
 
 def test_medians_at_all_levels(lookup):
@@ -44,11 +44,10 @@ def test_absent_key_columns_share_one_key(spark):
     assert lookup.transform(train.select("y")).first()["prediction"] == 2.0
 
 
-@pytest.mark.parametrize("limit", [None, 0])
 @pytest.mark.parametrize("n,index", [(1, 0), (9, 8), (19, 17), (99, 89), (2000, 1800)])
-def test_conformal_radius(spark, n, index, limit):
+def test_conformal_radius(spark, n, index):
     df = spark.range(n).select((F.col("id") + 0.5).alias("y"), F.lit(0.0).alias("p"))
-    row = U.conformal_radius(df, "y", "p", 0.1, one_pass_cells=limit).first()
+    row = U.conformal_radius(df, "y", "p", 0.1).first()
     assert (row["rank"], row["radius"]) == (index, index + 0.5)
 
 
@@ -79,3 +78,22 @@ def test_calibration_rows_are_covered_often_enough(spark):
     df = spark.range(500).select((F.col("id") * 37 % 101).cast("double").alias("y"), F.lit(50.0).alias("p"))
     radius = U.conformal_radius(df, "y", "p", 0.2)
     assert U.interval_metrics(U.interval_table(df, "y", "p", radius)).first()["coverage"] >= 0.8
+
+
+def test_a_key_without_targets_still_matches(spark):
+    rows = [("x", "p", None), ("x", "q", 5.0), ("y", "p", 7.0), ("z", "r", None)]
+    train = spark.createDataFrame(rows, "k string, g string, y double")
+    lookup = MedianLookup.fit(train, "k", "g", "y")
+    asked = spark.createDataFrame([("x", "p"), ("x", "q"), ("x", "new"), ("z", "new"), ("new", "r"), ("new", "new")], "k string, g string")
+    got = {(r["k"], r["g"]): r["prediction"] for r in lookup.transform(asked).collect()}
+    assert got == {("x", "p"): None, ("x", "q"): 5.0, ("x", "new"): 5.0, ("z", "new"): None, ("new", "r"): None, ("new", "new"): 6.0}
+    assert {r["n"] for r in lookup.table.where("level = 'pair'").collect()} == {0, 1}
+
+
+def test_intervals_with_a_bound_that_is_no_number(spark):
+    rows = [(1.0, 1.0), (2.0, 2.0), (3.0, float("nan")), (9.0, 1.0)]
+    table = U.interval_table(spark.createDataFrame(rows, "y double, p double"), "y", "p", 0.5)
+    got = U.interval_metrics(table).first()
+    assert got["coverage"] == 0.5
+    assert got["mean_interval_width"] != got["mean_interval_width"]
+    assert got["median_interval_width"] == 1.0

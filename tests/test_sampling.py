@@ -87,24 +87,23 @@ def rows(spark):
     )
 
 
-def chosen(rows, limit, seed=42):
+def chosen(rows, seed=42):
     quotas = materialise(SM.allocate_quotas(SM.strata_counts(rows), 900, 20))
-    picked = SM.choose_rows(rows, quotas, "row_id", seed=seed, one_pass_rows=limit)
+    picked = SM.choose_rows(rows, quotas, "row_id", seed=seed)
     return quotas, picked
 
 
 def test_each_group_yields_its_quota_and_ids_are_unique(rows):
-    quotas, picked = chosen(rows, None)
+    quotas, picked = chosen(rows)
     per_group = {r[0]: r["count"] for r in picked.groupBy("sample_month").count().collect()}
     assert per_group == {r["sample_month"]: r["quota"] for r in quotas.collect()}
     assert picked.select("row_id").distinct().count() == 900
 
 
-def test_same_rows_however_partitioned_and_by_either_way(rows):
-    base = {r["row_id"] for r in chosen(rows, None)[1].collect()}
-    assert {r["row_id"] for r in chosen(rows.repartition(9), None)[1].collect()} == base
-    assert {r["row_id"] for r in chosen(rows, 0)[1].collect()} == base
-    assert {r["row_id"] for r in chosen(rows, None, seed=1)[1].collect()} != base
+def test_same_rows_however_partitioned(rows):
+    base = {r["row_id"] for r in chosen(rows)[1].collect()}
+    assert {r["row_id"] for r in chosen(rows.repartition(9))[1].collect()} == base
+    assert {r["row_id"] for r in chosen(rows, seed=1)[1].collect()} != base
 
 
 def test_subset_is_chronological_and_cleaned_last(spark, rows):
@@ -114,12 +113,12 @@ def test_subset_is_chronological_and_cleaned_last(spark, rows):
         F.lit("x").alias("NATURE_TARGET"),
     )
     subset, metadata = SM.representative_subset(
-        records, "row_id", 300, 5, prepare=lambda df: df.withColumn("clean", F.lit(1))
+        records, "row_id", 300, 5, prepare=lambda df: df.withColumn("clean", F.lit(1)), max_rows=9999
     )
     stamps = [r["creation_ts"] for r in subset.collect()]
     assert len(stamps) == 300 and stamps == sorted(stamps) and "clean" in subset.columns
     info = metadata.first()
-    assert info["sampled_rows"] == 300
+    assert info["sampled_rows"] == 300 and info["max_rows"] == 9999
     assert info["source_rows_with_valid_time_and_nature"] == 6000
     assert sum(info["monthly_nature_sampled_counts"].values()) == 300
     assert set(info["monthly_nature_counts"]) == {"2020-01|x", "2020-02|x", "2020-03|x"}

@@ -237,3 +237,19 @@ def test_arriving_files(spark, raw_rows, tmp_path):
     found = run()
     assert found.count() == 250
     assert found.where(F.col(S.TARGET).isNotNull()).count() == sum(r[0] in NATURES for r in raw_rows[:250])
+
+
+def test_row_ids_follow_files_of_unequal_size(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v\n" + "\n".join(f"a{i}" for i in range(3)) + "\n")
+    (tmp_path / "b.csv").write_text("v\n" + "\n".join(f"b{i}" for i in range(3000)) + "\n")
+    (tmp_path / "c.csv").write_text("v\n" + "\n".join(f"c{i}" for i in range(40)) + "\n")
+    want = [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(3000)] + [f"c{i}" for i in range(40)]
+    for multi_line in (True, False):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        try:
+            scanned = tables.scan_csv(spark, str(tmp_path), encoding="UTF-8", multi_line=multi_line)
+            rows = tables.with_row_id(scanned).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r["v"] for r in sorted(rows, key=lambda r: r["row_id"])] == want
+        assert sorted(r["row_id"] for r in rows) == list(range(len(want)))
