@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from docketry import schema as S
 from docketry.catalog import bindings as B
 from docketry.models.classifiers import CalibratedSvm, LogisticClassifier, PriorClassifier, label_universe
-from docketry.models.regressors import LogLinearRegressor, MeanRegressor
+from docketry.models.registry import load_model, save_model
+from docketry.models.regressors import LogLinearRegressor, MeanRegressor, MedianRegressor
 from docketry.operators import metrics
-from docketry.operators.features import FeatureView
 from docketry.plans.workflows import classification_scores
 from docketry.schema import FeatureColumns
 from docketry.session import materialise, scratch_path
@@ -35,9 +35,9 @@ def _score(spark, sf_dir, classifier):
 
 
 SPLIT_DOCS_SQL = f"""WITH docs AS (SELECT d.doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS grade,
-         CASE WHEN ts <= TIMESTAMP '{B.DOC_TRAIN_END}' THEN 'train' WHEN ts <= TIMESTAMP '{B.DOC_VALIDATION_END}' THEN 'validation'
-              ELSE 'test' END AS split
-         FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN events e ON e.event_id = d.doc_id),
+         CASE WHEN {B.DOCUMENT_TIME_SQL} <= TIMESTAMP '{B.DOC_TRAIN_END}' THEN 'train'
+              WHEN {B.DOCUMENT_TIME_SQL} <= TIMESTAMP '{B.DOC_VALIDATION_END}' THEN 'validation' ELSE 'test' END AS split
+         FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
        p AS (SELECT count(*) FILTER (grade = 'good') / count(*)::DOUBLE AS good FROM docs WHERE split = 'train'),
        scored AS (SELECT grade, good, CASE WHEN good >= 0.5 THEN 'good' ELSE 'poor' END AS prediction FROM docs, p
                   WHERE split = 'validation') """
@@ -139,25 +139,32 @@ def linear_contributions(spark, sf_dir):
 
 @register(
     "model_save_load",
-    f"WITH {B.LINE_SQL} SELECT count(*) AS n_rows, 0.0::DOUBLE AS gap FROM durations WHERE split = 'test'",
+    f"""WITH {B.LINE_SQL} SELECT model, (SELECT count(*) FROM durations WHERE split = 'test') AS n_rows, 0.0::DOUBLE AS gap
+        FROM (VALUES ('LogLinearModel'), ('MeanModel'), ('MedianModel')) t(model)
+        UNION ALL SELECT model, (SELECT count(*) FROM documents d JOIN labels l USING (doc_id)
+                                 WHERE {B.DOCUMENT_TIME_SQL} > TIMESTAMP '{B.DOC_VALIDATION_END}'), 0.0
+        FROM (VALUES ('CalibratedSvmModel'), ('LogisticModel'), ('PriorModel')) t(model)""",
 )
 def model_save_load(spark, sf_dir):
-    """Predictions of a saved and reloaded model; ``gap`` to the original ones must be 0."""
-    from pyspark.ml.regression import LinearRegressionModel
-
-    from docketry.models.regressors import LogLinearModel
-
-    lines = line_table(spark, sf_dir)
-    model = LogLinearRegressor(LINE_COLUMNS, alpha=1.0, summed=True).fit(
-        lines.where("split = 'train'"), S.DURATION, "l_orderkey"
-    )
-    path = scratch_path(spark, "model")
-    model.save(path)
-    again = LogLinearModel(
-        FeatureView.load(spark, f"{path}/view"), LinearRegressionModel.load(f"{path}/model")
-    )
-    first = model.transform(lines.where("split = 'test'")).withColumnRenamed("prediction", "first")
-    both = again.transform(first)
-    return both.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("first") - F.col("prediction"))).alias("gap")
-    )
+    """Predictions of every kind of model after saving and loading; ``gap`` to the original ones must be 0."""
+    lines, documents = line_table(spark, sf_dir), _documents(spark, sf_dir)
+    regressors = (LogLinearRegressor(LINE_COLUMNS, alpha=1.0, summed=True), MeanRegressor(), MedianRegressor())
+    classifiers = (CalibratedSvm(TABULAR), LogisticClassifier(TABULAR), PriorClassifier())
+    tasks = [(r, lines, S.DURATION, "l_orderkey", F.col("prediction")) for r in regressors]
+    # All class scores of a row weigh in, each with its place.
+    weighed = F.aggregate("probability", F.lit(0.0), lambda s, p: s * 7 + p)
+    tasks += [(c, documents, "grade", "doc_id", weighed) for c in classifiers]
+    found = None
+    for estimator, rows, target, row_id, shown in tasks:
+        model = estimator.fit(rows.where("split = 'train'"), target, row_id)
+        path = scratch_path(spark, "model")
+        save_model(model, path)
+        again = load_model(spark, path)
+        test = rows.where("split = 'test'")
+        first = model.transform(test).withColumn("first", shown).drop("prediction", "probability")
+        gap = F.coalesce(F.max(F.abs(F.col("first") - shown)), F.lit(0.0))
+        row = again.transform(first).agg(
+            F.lit(type(model).__name__).alias("model"), F.count(F.lit(1)).alias("n_rows"), gap.alias("gap")
+        )
+        found = row if found is None else found.unionByName(row)
+    return found

@@ -21,7 +21,7 @@ from docketry.operators.features import FeatureView
 from docketry.operators.metrics import argmax_label
 from docketry.operators.selection import select_ranks
 from docketry.schema import FeatureColumns
-from docketry.session import materialise, small_table
+from docketry.session import load_rows, materialise, save_rows, small_table
 
 PARALLEL_FITS = 4
 
@@ -58,6 +58,20 @@ def _class_rows(train: DataFrame, target: str) -> list:
     return rows
 
 
+# Labels are text in saved models.
+LABELS = "place int, label string"
+PRIORS = "place int, label string, prior double"
+SIGMOIDS = "fold int, class int, slope double, offset double"
+
+
+def save_labels(labels: list, path: str) -> None:
+    save_rows(list(enumerate(labels)), LABELS, f"{path}/labels")
+
+
+def load_labels(spark: SparkSession, path: str) -> list:
+    return [r["label"] for r in load_rows(spark, LABELS, f"{path}/labels", "place")]
+
+
 # --- prior ----------------------------------------------------------------------------------
 
 
@@ -79,6 +93,14 @@ class PriorModel:
     def coefficients(self) -> None:
         return None
 
+    def save(self, path: str) -> None:
+        save_rows(list(zip(range(len(self.labels)), self.labels, self.priors)), PRIORS, f"{path}/priors")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> PriorModel:
+        rows = load_rows(spark, PRIORS, f"{path}/priors", "place")
+        return cls([r["label"] for r in rows], [r["prior"] for r in rows])
+
 
 class PriorClassifier:
     def fit(self, train: DataFrame, target: str, row_id: str) -> PriorModel:
@@ -108,9 +130,15 @@ class LogisticModel:
         return weight_rows(self.view, dict(zip(self.labels, matrix.tolist())))
 
     def save(self, path: str) -> None:
+        save_labels(self.labels, path)
         self.view.save(f"{path}/view")
         self.model.write().overwrite().save(f"{path}/model")
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LogisticModel:
+        view, model = FeatureView.load(spark, f"{path}/view"), LogisticRegressionModel.load(f"{path}/model")
+        return cls(load_labels(spark, path), view, model)
+
 
 def weight_rows(view: FeatureView, weights: dict) -> DataFrame:
     spark = SparkSession.getActiveSession()
@@ -263,15 +291,27 @@ class CalibratedSvmModel:
         return mean_coefficients(self.fold_coefficients())
 
     def save(self, path: str) -> None:
+        save_labels(self.labels, path)
         self.view.save(f"{path}/view")
-        spark = SparkSession.getActiveSession()
         rows = []
         for f, fold in enumerate(self.folds):
             for c, (model, (slope, offset)) in enumerate(zip(fold.margins, fold.sigmoids)):
                 model.write().overwrite().save(f"{path}/margin-{f}-{c}")
                 rows.append((f, c, slope, offset))
-        schema = "fold int, class int, slope double, offset double"
-        small_table(spark, rows, schema).coalesce(1).write.mode("overwrite").json(f"{path}/sigmoids")
+        save_rows(rows, SIGMOIDS, f"{path}/sigmoids")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> CalibratedSvmModel:
+        folds: dict[int, list] = {}
+        for r in load_rows(spark, SIGMOIDS, f"{path}/sigmoids", "class"):
+            margin = LinearSVCModel.load(f"{path}/margin-{r['fold']}-{r['class']}")
+            folds.setdefault(r["fold"], []).append((margin, (r["slope"], r["offset"])))
+        parts = [folds[f] for f in sorted(folds)]
+        return cls(
+            load_labels(spark, path),
+            FeatureView.load(spark, f"{path}/view"),
+            [SvmFold([m for m, _ in part], [s for _, s in part]) for part in parts],
+        )
 
 
 def mean_coefficients(by_fold: DataFrame) -> DataFrame:

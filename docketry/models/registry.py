@@ -6,9 +6,40 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from typing import Any
 
-from docketry.models.classifiers import CalibratedSvm, LogisticClassifier, PriorClassifier
-from docketry.models.regressors import LogLinearRegressor, MeanRegressor, MedianRegressor
+from pyspark.sql import SparkSession
+
+from docketry.models.classifiers import (
+    CalibratedSvm,
+    CalibratedSvmModel,
+    LogisticClassifier,
+    LogisticModel,
+    PriorClassifier,
+    PriorModel,
+)
+from docketry.models.regressors import (
+    LogLinearModel,
+    LogLinearRegressor,
+    MeanModel,
+    MeanRegressor,
+    MedianModel,
+    MedianRegressor,
+)
 from docketry.schema import FeatureColumns
+from docketry.session import load_rows, save_rows
+
+MODEL_CLASSES = (PriorModel, LogisticModel, CalibratedSvmModel, MeanModel, MedianModel, LogLinearModel)
+
+
+def save_model(model: Any, path: str) -> None:
+    """Any fitted model, with its kind beside it."""
+    model.save(path)
+    save_rows([(type(model).__name__,)], "kind string", f"{path}/kind")
+
+
+def load_model(spark: SparkSession, path: str) -> Any:
+    """A model that :func:`save_model` has written."""
+    kind = load_rows(spark, "kind string", f"{path}/kind", "kind")[0]["kind"]
+    return {c.__name__: c for c in MODEL_CLASSES}[kind].load(spark, path)
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docketry import schema as S
 from docketry.models.classifiers import label_universe
-from docketry.models.registry import ModelSpec, classification_models, regression_models
+from docketry.models.registry import ModelSpec, classification_models, regression_models, save_model
 from docketry.operators import frames, metrics, sampling, uncertainty
 from docketry.schema import FeatureColumns, RecordSchema
 from docketry.session import materialise, scratch_path, small_table
@@ -80,8 +80,7 @@ class ClassificationRun:
         tables.save_report(self.reliability, f"{path}/reliability")
         if self.contributions is not None:
             tables.save_report(self.contributions, f"{path}/feature_contributions")
-        if hasattr(self.model, "save"):
-            self.model.save(f"{path}/best_model")
+        save_model(self.model, f"{path}/best_model")
 
 
 def prefixed(comparison: DataFrame, first: int, prefix: str = "validation_") -> DataFrame:
@@ -118,7 +117,7 @@ def compare_classifiers(
             )
             results.append((*head, "", *classification_scores(scored, target, labels).first()))
         except Exception as error:  # noqa: BLE001 - the comparison reports what failed
-            results.append((*head, str(error), None, None, None, None, None))
+            results.append((*head, f"{type(error).__name__}: {error}", None, None, None, None, None))
     return small_table(train.sparkSession, results, COMPARISON)
 
 
@@ -207,8 +206,7 @@ class RegressionRun:
         self.intervals.write.mode("overwrite").option("header", True).csv(f"{path}/intervals")
         if self.contributions is not None:
             tables.save_report(self.contributions, f"{path}/feature_contributions")
-        if hasattr(self.model, "save"):
-            self.model.save(f"{path}/best_model")
+        save_model(self.model, f"{path}/best_model")
 
 
 def compare_regressors(

@@ -70,3 +70,12 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
         schema=to_arrow_schema(struct),
     )
     return spark.createDataFrame(arrow, struct)
+
+
+def save_rows(rows: Sequence[tuple], schema: str, path: str) -> None:
+    """A few driver-side rows (labels, fitted parameters) as one JSON file."""
+    small_table(SparkSession.active(), rows, schema).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_rows(spark: SparkSession, schema: str, path: str, order: str) -> list:
+    return spark.read.schema(schema).json(path).orderBy(order).collect()
