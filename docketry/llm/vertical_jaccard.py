@@ -13,13 +13,14 @@ all made; no link that could change a component is lost.
    at most n - ceil(0.75 n) shingles can be missing, wherever they are. Truncated numbers can only raise a count.
 2. *Classes.* Of what remains, equal sets become one class; only a class's first document goes on.
 3. *Order.* Exact counts over the remaining sets give the global order, rare shingles first, equal ones by number;
-   pivots cut it into ``FRAGMENTS`` of about as many occurrences.
+   ``PIVOTS`` cut it into fragments.
 4. *Candidates.* Linked sets share a shingle among the first n - ceil(0.75 n) + 1 of each (prefix). First every
    class meets one neighbour only: of each prefix shingle the class with the lowest hash, and of these the most
-   frequent one. Links found join classes into components. Then all pairs *between* components that share
+   frequent one. Sizes and places bound the overlap before a pair is made (``near``). Links found join classes into components. Then all pairs *between* components that share
    a prefix shingle are candidates, found over (shingle, component) rows; if they are many, another
    round with other neighbours comes before. Pairs within a component need no look: they can't change it.
-5. *Overlaps.* A candidate pair's segments meet by fragment, each gives a partial overlap, the sum decides.
+5. *Overlaps.* The segments of a candidate pair meet fragment by fragment, each gives a partial overlap, and the sum
+   decides.
 
 Defined results: a null or empty text and one without words have an empty set and no link; a row without id is returned
 with its set's size and a null component. Rows that share an id are judged one by one; repeated rows link like
@@ -46,8 +47,9 @@ PERCENT = 75
 SMALL = 96
 #: Text bytes for each fragment of step 1.
 FRAGMENT_BYTES = 16 << 20
-#: Fragments of the order of step 3.
-FRAGMENTS = 8
+#: Where step 3 cuts the order (count, and the shingle's bits after the point): most shingles that two sets share are
+#: shared by just two or three.
+PIVOTS = (2.25, 2.5, 2.75, 3.0, 4.0, 8.0, 32.0)
 #: Another round of single neighbours comes while pairs between components outnumber prefix rows so many times.
 PAIRS_PER_ROW = 4
 ROUNDS = 4
@@ -79,9 +81,14 @@ def unpack_block(keys: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(step, dtype=np.uint32), np.frombuffer(places, "<u2")
 
 
-def batch_rows(ids: list, sets: list[np.ndarray], uid: int, fragments: int) -> dict[str, list]:
-    """Rows of one batch: one per document (its size, key, need and what the batch itself shares), and one block
-    of shingles per fragment."""
+SENT_SCHEMA = "fragment int, uid long, ids array<string>, body binary, keys binary, places binary"
+ANSWER_SCHEMA = "uid long, ids array<string>, body binary, places binary"
+SHARED_SCHEMA = "id string, n long, key binary, need long, cnt long"
+
+
+def batch_rows(ids: list, sets: list[np.ndarray], uid: int, fragments: int) -> list[tuple]:
+    """Rows of one batch: its documents (ids; sizes, needs, what the batch itself shares, and keys), and a block of
+    shingles for each fragment."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     place = np.repeat(np.arange(len(sets)), size)
@@ -97,16 +104,8 @@ def batch_rows(ids: list, sets: list[np.ndarray], uid: int, fragments: int) -> d
     starts = np.flatnonzero(new)
     count = np.diff(np.r_[starts, len(flat)])
     within = np.bincount(place[np.repeat(count > 1, count)], minlength=len(sets))
-    out: dict[str, list] = {c: [] for c in BLOCK_COLUMNS}
-
-    def add(**row) -> None:
-        for c in BLOCK_COLUMNS:
-            out[c].append(row.get(c))
-
-    for i, (doc, own) in enumerate(zip(ids, sets, strict=True)):
-        key = set_key(own)
-        home = int.from_bytes(key[:4], "little") + i
-        add(fragment=home % fragments, uid=uid, place=i, id=doc, n=int(size[i]), key=key, need=int(need[i]), cnt=int(within[i]))
+    numbers = np.stack([size, need, within]).astype("<i8").tobytes()
+    out = [(uid % fragments, uid, ids, numbers + b"".join(map(set_key, sets)), None, None)]
     number, owner = flat[starts], np.where(count > 1, SHARED, place[starts])
     fragment = ((number >> np.uint64(32)) % np.uint64(fragments)).astype(np.int64)
     low = (number & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -115,21 +114,15 @@ def batch_rows(ids: list, sets: list[np.ndarray], uid: int, fragments: int) -> d
     cuts = np.r_[0, np.flatnonzero(fragment[1:] != fragment[:-1]) + 1, len(fragment)]
     for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         if e > s:
-            keys, places = pack_block(low[s:e], owner[s:e])
-            add(fragment=int(fragment[s]), uid=uid, keys=keys, places=places)
+            out.append((int(fragment[s]), uid, None, None, *pack_block(low[s:e], owner[s:e])))
     return out
 
 
-BLOCK_SCHEMA = "fragment int, uid long, place int, id string, n long, key binary, need long, cnt long, keys binary, places binary"
-BLOCK_COLUMNS = [c.split(" ")[0] for c in BLOCK_SCHEMA.split(", ")]
-ANSWER_SCHEMA = "uid long, place int, id string, n long, key binary, need long, cnt long"
-ANSWER_COLUMNS = [c.split(" ")[0] for c in ANSWER_SCHEMA.split(", ")]
-
-
 def answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one fragment: its documents' rows as they are, and for each place how many shingles other batches have."""
+    """Of one fragment: its batches' documents as they are, and for each batch how many shingles of each of its
+    places other batches have, as one row."""
     is_block = rows["keys"].notna()
-    own = rows.loc[~is_block, ANSWER_COLUMNS]
+    own = rows.loc[~is_block, ["uid", "ids", "body", "places"]]
     blocks = rows.loc[is_block, ["uid", "keys", "places"]]
     if not len(blocks):
         return own
@@ -144,19 +137,32 @@ def answer(rows: pd.DataFrame) -> pd.DataFrame:
     met[order] = np.r_[False, same] | np.r_[same, False]
     met &= place != SHARED
     where, counts = np.unique(block[met] * (SHARED + 1) + place[met], return_counts=True)
-    uids = blocks["uid"].to_numpy()
-    found = pd.DataFrame(
-        {"uid": uids[where // (SHARED + 1)], "place": (where % (SHARED + 1)).astype(np.int32), "cnt": counts.astype(np.int64)}
-    )
-    out = pd.concat([own, found.reindex(columns=ANSWER_COLUMNS)], ignore_index=True)
-    for c in ("n", "need", "cnt"):
-        out[c] = out[c].astype("Int64")
-    return out
+    cuts = np.searchsorted(where, np.arange(len(parts) + 1) * (SHARED + 1))
+    found = [
+        (uid, None, counts[s:e].astype("<u4").tobytes(), (where[s:e] % (SHARED + 1)).astype("<u2").tobytes())
+        for uid, s, e in zip(blocks["uid"], cuts[:-1], cuts[1:], strict=True)
+        if e > s
+    ]
+    return pd.concat([own, pd.DataFrame(found, columns=own.columns)], ignore_index=True)
+
+
+def sum_answers(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one batch: its documents with the counts of all fragments added up."""
+    is_docs = rows["ids"].notna()
+    docs = rows[is_docs].iloc[0]
+    n = len(docs["ids"])
+    size, need, cnt = np.frombuffer(docs["body"], "<i8", 3 * n).reshape(3, n)
+    cnt, keys = cnt.copy(), docs["body"][24 * n :]
+    for body, places in zip(rows.loc[~is_docs, "body"], rows.loc[~is_docs, "places"], strict=True):
+        # A place comes once in a row.
+        cnt[np.frombuffer(places, "<u2")] += np.frombuffer(body, "<u4")
+    each = [keys[16 * i : 16 * i + 16] for i in range(n)]
+    return pd.DataFrame({"id": docs["ids"], "n": size, "key": each, "need": need, "cnt": cnt})
 
 
 def shared_counts(docs: DataFrame) -> DataFrame:
-    """(id, n, key, need, cnt) of each row of (doc_id, text): set size, set key, shingles that a link demands others
-    to hold, and shingles that others hold."""
+    """(doc_id, n, key, need, cnt) of each row of (doc_id, text): set size, set key, shingles that a link demands
+    others to hold, and shingles that others hold."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = max(1, -(-total // FRAGMENT_BYTES))
 
@@ -167,20 +173,15 @@ def shared_counts(docs: DataFrame) -> DataFrame:
             for at in range(0, len(batch), BATCH_ROWS):
                 part = batch.iloc[at : at + BATCH_ROWS]
                 sets = list(shingler.sets(part["text"].tolist()))
-                rows = pd.DataFrame(batch_rows(part["id"].tolist(), sets, uid, fragments), columns=BLOCK_COLUMNS)
-                for c in ("place", "n", "need", "cnt"):
-                    rows[c] = rows[c].astype("Int64")
-                yield rows
+                rows = batch_rows(part["id"].tolist(), sets, uid, fragments)
+                yield pd.DataFrame(rows, columns=["fragment", "uid", "ids", "body", "keys", "places"])
                 uid += 1
 
     ship(docs.sparkSession)
-    sent = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(send, BLOCK_SCHEMA)
+    sent = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(send, SENT_SCHEMA)
     answers = sent.groupBy("fragment").applyInPandas(answer, ANSWER_SCHEMA)
-    summed = answers.groupBy("uid", "place").agg(
-        F.max("id").cast("long").alias("doc_id"), F.max("n").alias("n"), F.max("key").alias("key"),
-        F.max("need").alias("need"), F.sum("cnt").alias("cnt"),
-    )
-    return stored(summed.drop("uid", "place"), "shared")
+    summed = answers.groupBy("uid").applyInPandas(sum_answers, SHARED_SCHEMA)
+    return stored(summed.select(F.col("id").cast("long").alias("doc_id"), "n", "key", "need", "cnt"), "shared")
 
 
 # --- a sieve of ids, to join texts without shuffling most of them ---------------------------
@@ -216,7 +217,7 @@ def sieved(bits: np.ndarray) -> Column:
 
 
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, n, shingles) of the sets that ``wanted`` (doc_id, key) names, one row per key."""
+    """(node, n, shingles) of the sets that ``wanted`` (doc_id, key) names; more than once where rows are repeated."""
     near = docs.select("doc_id", "text").filter(sieved(sieve(wanted)))
     rows = near.join(wanted, "doc_id").select("text", "key")
 
@@ -230,7 +231,7 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pd.DataFrame(kept, columns=["key", "shingles"])
 
     ship(docs.sparkSession)
-    made = rows.mapInPandas(make, "key binary, shingles array<long>").dropDuplicates(["key"])
+    made = rows.mapInPandas(make, "key binary, shingles array<long>")
     # Inside the pair stage a class goes by the first eight bytes of its key.
     node = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long")
     return stored(made.select(node.alias("node"), F.size("shingles").alias("n"), "shingles"), "sets")
@@ -239,37 +240,27 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- steps 3 to 5 ---------------------------------------------------------------------------
 
 
-def fragment_pivots(counts: DataFrame, rank: Column) -> list[float]:
-    """Ranks that cut the order into about equal numbers of occurrences; from a histogram of some hundred classes."""
-    step = F.floor(F.log2(rank) * 16).cast("int")
-    classes = counts.groupBy(step.alias("step")).agg(F.sum("freq").alias("rows")).collect()
-    total, seen, pivots = sum(r["rows"] for r in classes), 0, []
-    for r in sorted(classes, key=lambda r: r["step"]):
-        seen += r["rows"]
-        if len(pivots) < FRAGMENTS - 1 and seen * FRAGMENTS >= total * (len(pivots) + 1):
-            pivots.append(2.0 ** ((r["step"] + 1) / 16))
-    return pivots
-
-
 def ordered_sets(sets: DataFrame) -> DataFrame:
     """(node, n, shared, segments, prefix): the shingles that other sets hold too, in the global order and by fragment,
     their number, and how many of them are in the prefix. Sets with an empty prefix have no link."""
-    rows = sets.select("node", "n", F.explode("shingles").alias("shingle"))
-    counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("freq")).filter("freq > 1"), "order")
-    # The order as one number: the count, then the shingle's top bits for ties.
-    rank = F.col("freq") + F.pmod(F.col("shingle"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    pivots = fragment_pivots(counts, rank)
-    known = rows.join(counts, "shingle").select("node", "n", F.struct(rank.alias("rank"), "shingle").alias("at"))
+    rows = sets.select("node", F.explode("shingles").alias("shingle"))
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("freq")).filter("freq > 1")
+    known = rows.join(counts, "shingle").select("node", F.struct("freq", "shingle").alias("at"))
+    # A repeated row brings its shingles again.
+    gathered = known.groupBy("node").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    sizes = sets.groupBy("node").agg(F.max("n").alias("n"))
+    # The order as a number: the count, and the shingle's place among those of one count.
+    rank = lambda a: a["freq"] + (F.shiftrightunsigned(a["shingle"], 44) + F.lit(0.0)) / float(1 << 20)
+    bounds = [0.0, *PIVOTS, float("inf")]
     spare_n = F.col("n") - F.ceil(F.col("n") * PERCENT / 100)
-    gathered = known.groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("at")).alias("at"))
-    bounds = [0.0, *pivots, float("inf")]
 
     def segment(low: float, high: float) -> Column:
-        inside = F.filter("at", lambda a: (a["rank"] >= low) & (a["rank"] < high))
+        # The order is by fragment, within it by count and number: the same for every set.
+        inside = F.filter("at", lambda a: (rank(a) >= low) & (rank(a) < high))
         return F.transform(inside, lambda a: a["shingle"])
 
     return stored(
-        gathered.select(
+        gathered.join(sizes, "node").select(
             "node",
             "n",
             F.size("at").alias("shared"),
@@ -281,32 +272,49 @@ def ordered_sets(sets: DataFrame) -> DataFrame:
     )
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Linked pairs (a, b) of candidate pairs: partial overlaps by fragment, summed."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("n").alias("na"), F.col("segment").alias("sa"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("n").alias("nb"), F.col("segment").alias("sb"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
-    part = F.size(F.array_intersect("sa", "sb"))
-    summed = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum(part).alias("common"))
-    return summed.filter(F.col("common") * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
+def overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Linked pairs (a, b) of candidate pairs: a partial overlap for each fragment, then their sum."""
 
+    def side(x: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("segments").alias(f"s{x}"))
 
-def possible(place_a: str, place_b: str, na: str, nb: str) -> Column:
-    """Whether two sets with a common shingle at these places can overlap enough: what lies before the one place
-    only meets what lies before the other, and so after it; and so for their sizes."""
-    a, b, n, m = (F.col(c) for c in (place_a, place_b, na, nb))
-    most = F.least(a, b) + 1 + F.least(n - a - 1, m - b - 1)
-    return most * (100 + PERCENT) >= PERCENT * (n + m)
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    parts = F.zip_with("sa", "sb", lambda x, y: F.size(F.array_intersect(x, y)))
+    common = F.aggregate(parts, F.lit(0), lambda total, part: total + part)
+    return met.filter(possible(common, "na", "nb")).select("a", "b")
+
+
+def possible(most: Column, n: str, m: str) -> Column:
+    """Whether sets of n and m shingles link if they have so many in common."""
+    return most * (100 + PERCENT) >= PERCENT * (F.col(n) + F.col(m))
+
+
+def reach(n: Column, place: Column) -> Column:
+    """75 times the largest size of a set that may have its first common shingle with one of n at this place of the
+    whole order: n - place shingles are left to reach the overlap that the two sizes demand."""
+    return 100 * n - (100 + PERCENT) * place
+
+
+def near(a: str = "a", b: str = "b") -> Column:
+    """Whether two sets can link whose common shingle lies at places pa and pb of the order: one such shingle is within
+    reach of both, and what lies before the one place only meets what lies before the other, and so after it."""
+    na, nb, pa, pb, ua, ub = (F.col(c + x) for c in ("n", "p", "u") for x in (a, b))
+    most = F.least(pa - ua, pb - ub) + 1 + F.least(na - pa - 1, nb - pb - 1)
+    within = (reach(na, pa) >= PERCENT * nb) & (reach(nb, pb) >= PERCENT * na)
+    return within & possible(most, f"n{a}", f"n{b}")
 
 
 def link_components(sets: DataFrame) -> DataFrame:
     """(node, root) of every set that has a link; sets are (node, n, shingles)."""
     nodes = ordered_sets(sets)
-    segments = nodes.select("node", "n", F.posexplode("segments").alias("fragment", "segment")).filter(F.size("segment") > 0)
-    # Places count from the start of the whole order: unshared shingles come before all of these.
     front = F.slice(F.flatten("segments"), F.lit(1), F.col("prefix"))
-    prefix = nodes.select("node", "n", (F.col("n") - F.col("shared")).alias("before"), F.posexplode(front).alias("i", "shingle"))
-    prefix = stored(prefix.select("node", "n", "shingle", (F.col("before") + F.col("i")).alias("place")), "prefix")
+    # Places count from the start of the whole order: u shingles that no other set holds come first.
+    prefix = nodes.select("node", "n", (F.col("n") - F.col("shared")).alias("u"), F.posexplode(front).alias("i", "shingle"))
+    prefix = prefix.select("node", "n", "u", (F.col("u") + F.col("i")).alias("p"), "shingle")
+    # A set that reaches not even the smallest one beside it can't link there.
+    beside = prefix.groupBy("shingle").agg(F.min("n").alias("least_n"), F.count("*").alias("rows")).filter("rows > 1")
+    prefix = prefix.join(beside, "shingle").filter(reach(F.col("n"), F.col("p")) >= PERCENT * F.col("least_n"))
+    prefix = stored(prefix.select("node", "n", "u", "p", "shingle"), "prefix")
 
     edges = None
     marked = prefix.withColumn("root", F.col("node"))
@@ -320,19 +328,28 @@ def link_components(sets: DataFrame) -> DataFrame:
         if open_pairs == 0 or (turn > 0 and open_pairs <= PAIRS_PER_ROW * n_rows) or (last is not None and open_pairs > 0.9 * last):
             break
         last = open_pairs
-        seat = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), F.col("root").alias("r"), F.xxhash64("node", F.lit(turn)).alias("k"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
-        first = marked.groupBy("shingle").agg(F.min(seat).alias("f")).select("shingle", "f.r", "f.b", "f.nb", "f.pb")
-        met = marked.join(first, "shingle").filter((F.col("root") != F.col("r")) & possible("place", "pb", "n", "nb"))
-        votes = met.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("votes"))
+        order = [F.xxhash64(c, F.lit(turn)).alias(f"h_{c}") for c in ("root", "node")]
+        seat = F.struct(order[0], F.col("root").alias("rb"), order[1], *[F.col(c).alias(x) for c, x in (("node", "b"), ("n", "nb"), ("u", "ub"), ("p", "pb"))])
+        first = marked.groupBy("shingle").agg(F.min(seat).alias("f")).select("shingle", *[f"f.{c}" for c in ("rb", "b", "nb", "ub", "pb")])
+        own = marked.select("shingle", "root", *[F.col(c).alias(x) for c, x in (("node", "a"), ("n", "na"), ("u", "ua"), ("p", "pa"))])
+        met = own.join(first, "shingle").filter((F.col("root") != F.col("rb")) & near())
+        votes = met.groupBy("a", "b").agg(F.count("*").alias("votes"))
         best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("f")).select("a", F.col("f.b").alias("b"))
-        edges, marked = grow(edges, overlaps(best, segments), prefix)
-    # All that is left between components.
-    roots = marked.select("shingle", "root").distinct()
-    pairs_of_roots = roots.select("shingle", F.col("root").alias("ra")).join(roots.select("shingle", F.col("root").alias("rb")), "shingle").filter("ra < rb")
-    side = lambda s: marked.select("shingle", F.col("root").alias(f"r{s}"), F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("place").alias(f"p{s}"))
-    met = pairs_of_roots.join(side("a"), ["shingle", "ra"]).join(side("b"), ["shingle", "rb"])
-    pairs = met.filter(possible("pa", "pb", "na", "nb")).select("a", "b").distinct()
-    edges, _ = grow(edges, overlaps(pairs, segments), prefix)
+        edges, marked = grow(edges, overlaps(best, nodes), prefix)
+    # All that is left between components. Of a shingle, two components meet if their widest bounds allow it.
+    roots = marked.groupBy("shingle", "root").agg(F.min("n").alias("n"), F.max(reach(F.col("n"), F.col("p"))).alias("r"))
+
+    def of_root(side: str) -> DataFrame:
+        return roots.select("shingle", *[F.col(c).alias(c + side) for c in ("root", "n", "r")])
+
+    def of_node(side: str) -> DataFrame:
+        return marked.select("shingle", F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("root", "n", "u", "p")])
+
+    able = (F.col("roota") < F.col("rootb")) & (F.col("ra") >= PERCENT * F.col("nb")) & (F.col("rb") >= PERCENT * F.col("na"))
+    met_roots = of_root("a").join(of_root("b"), "shingle").filter(able).select("shingle", "roota", "rootb")
+    met = met_roots.join(of_node("a"), ["shingle", "roota"]).join(of_node("b"), ["shingle", "rootb"])
+    pairs = met.filter(near()).select("a", "b").distinct()
+    edges, _ = grow(edges, overlaps(pairs, nodes), prefix)
     return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
