@@ -237,7 +237,7 @@ def blocks(rows: DataFrame, schema: str, name: str) -> DataFrame:
 
 
 def compare(batches: Iterator[pd.DataFrame], top: int) -> Iterator[pd.DataFrame]:
-    """Of pairs of a query block and a member block: for each query the best ids there, with scores."""
+    """Of pairs of a query block and a member block: for each query the best ids there, with scores below zero."""
     for batch in batches:
         for r in batch.itertuples():
             queries = np.frombuffer(r.q_vectors, "<f8").reshape(len(r.q_keys), -1)
@@ -255,8 +255,14 @@ def compare(batches: Iterator[pd.DataFrame], top: int) -> Iterator[pd.DataFrame]
                 ids = np.concatenate([r.m_ids[ends[i] - r.m_sizes[i] : ends[i]] for i in near])
                 value = np.repeat(own[near], r.m_sizes[near])
                 order = np.lexsort((ids, -value))[: top + 1]
-                rows.append((key, ids[order], value[order]))
-            yield pd.DataFrame(rows, columns=["key", "ids", "scores"])
+                rows.append((key, r.part, -value[order], ids[order]))
+            yield pd.DataFrame(rows, columns=["key", "part", "far", "ids"])
+
+
+def merged(entries: DataFrame, by: list[str], top: int) -> DataFrame:
+    """The first ``top`` + 1 entries of all lists of a group; entries sort by distance, then id."""
+    every = F.array_sort(F.flatten(F.collect_list("near")))
+    return entries.groupBy(*by).agg(F.slice(every, 1, top + 1).alias("near"))
 
 
 def search(rows: DataFrame, asked: DataFrame | None = None, vec_id: str = "vec_id", vector: str = "embedding", top: int = TOP, every: int = 20) -> DataFrame:
@@ -279,15 +285,13 @@ def search(rows: DataFrame, asked: DataFrame | None = None, vec_id: str = "vec_i
     sent = routed(questions, router, probes).select(F.explode("route").alias("part"), "key", "v")
     query_blocks = blocks(sent, "part int, q_keys array<long>, q_vectors binary", "q")
     met = query_blocks.join(member_blocks, "part")
-    found = met.mapInPandas(lambda b: compare(b, top), "key long, ids array<long>, scores array<double>")
-
-    each = found.select("key", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("key", F.col("x.ids").alias("id"), F.col("x.scores").alias("score"))
-    best = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-    few = each.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top + 1)
-    lists = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "id", "score"))).alias("near"))
-    answered = asks.join(lists, "key").select("query_id", F.filter("near", lambda x: x["id"] != F.col("query_id")).alias("near"))
+    found = met.mapInPandas(lambda b: compare(b, top), "key long, part int, far array<double>, ids array<long>")
+    # Short lists are merged first by part, then over all parts; none is longer than a part has blocks, or parts.
+    entries = found.select("key", "part", F.arrays_zip("far", "ids").alias("near"))
+    lists = merged(merged(entries, ["key", "part"], top), ["key"], top)
+    answered = asks.join(lists, "key").select("query_id", F.filter("near", lambda x: x["ids"] != F.col("query_id")).alias("near"))
     ranked = answered.select("query_id", F.posexplode(F.slice("near", 1, top)).alias("i", "x"))
-    return ranked.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
+    return ranked.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.ids").alias("vec_id"), (-F.col("x.far")).alias("score"))
 
 
 def op3_learned_partitions(spark, sf_dir: str) -> DataFrame:
