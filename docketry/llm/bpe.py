@@ -10,6 +10,9 @@ The file decides: Unicode NFC, white space, lower case, the split pattern, bytes
 and special tokens whose strings are found in the raw text first. Words between white space are encoded once
 and remembered; that memory is bounded by ``MEMORY_WORDS`` and never changes a result.
 
+Letters and cases follow the tables of Python and ``regex``; characters assigned since Unicode 15.1 may differ from
+the public library's tables, all others agree.
+
 Null cases: a null text is an empty one; it has no ids, and decodes to the empty string.
 """
 
@@ -32,7 +35,7 @@ from docketry.llm.common import arrow_udf, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Remembered words of one worker; beyond it the memory starts anew.
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 400_000
 #: Words that one index takes at once.
 INDEX_WORDS = 300_000
 #: From so many positions on, a rank's list is merged as arrays.
