@@ -16,7 +16,7 @@ all made; no link that could change a component is lost.
    ``PIVOTS`` cut it into fragments.
 4. *Candidates.* Linked sets share a shingle among the first n - ceil(0.75 n) + 1 of each (prefix). First every
    class meets one neighbour only: of each prefix shingle the class with the lowest hash, and of these the most
-   frequent one. Sizes and places bound the overlap before a pair is made (``near``). Links found join classes into components. Then all pairs *between* components that share
+   frequent one. Sizes, places and small bit tables bound the overlap before a pair is made. Links found join classes into components. Then all pairs *between* components that share
    a prefix shingle are candidates, found over (shingle, component) rows; if they are many, another
    round with other neighbours comes before. Pairs within a component need no look: they can't change it.
 5. *Overlaps.* The segments of a candidate pair meet fragment by fragment, each gives a partial overlap, and the sum
@@ -56,6 +56,8 @@ ROUNDS = 4
 #: Rows of a batch; places in it have 16 bits.
 BATCH_ROWS = 60_000
 SHARED = 0xFFFF
+#: 64-bit words of the table of a set's shingles that bounds what two sets lack of each other.
+BIT_WORDS = 16
 #: Bits of the table that tells most rows apart without a join (1 MiB, whatever the data).
 SIEVE_BITS = 1 << 23
 
@@ -216,8 +218,16 @@ def sieved(bits: np.ndarray) -> Column:
     return run(F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)))
 
 
+def bit_words(numbers: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, by its low bits. A bit that one set has and another has not stands for at least one
+    shingle that the other lacks."""
+    bits = np.zeros(BIT_WORDS * 64, bool)
+    bits[(numbers % np.uint64(BIT_WORDS * 64)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the sets that ``wanted`` (doc_id, key) names; more than once where rows are repeated."""
+    """(node, n, shingles, bits) of the sets that ``wanted`` (doc_id, key) names; more than once where rows are repeated."""
     near = docs.select("doc_id", "text").filter(sieved(sieve(wanted)))
     rows = near.join(wanted, "doc_id").select("text", "key")
 
@@ -227,14 +237,14 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
                 sets = list(shingler.sets(part["text"].tolist()))
-                kept = [(k, own.view(np.int64)) for k, own in zip(part["key"], sets, strict=True) if set_key(own) == bytes(k)]
-                yield pd.DataFrame(kept, columns=["key", "shingles"])
+                kept = [(k, own.view(np.int64), bit_words(own)) for k, own in zip(part["key"], sets, strict=True) if set_key(own) == bytes(k)]
+                yield pd.DataFrame(kept, columns=["key", "shingles", "bits"])
 
     ship(docs.sparkSession)
-    made = rows.mapInPandas(make, "key binary, shingles array<long>")
+    made = rows.mapInPandas(make, "key binary, shingles array<long>, bits array<long>")
     # Inside the pair stage a class goes by the first eight bytes of its key.
     node = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long")
-    return stored(made.select(node.alias("node"), F.size("shingles").alias("n"), "shingles"), "sets")
+    return stored(made.select(node.alias("node"), F.size("shingles").alias("n"), "shingles", "bits"), "sets")
 
 
 # --- steps 3 to 5 ---------------------------------------------------------------------------
@@ -304,6 +314,16 @@ def near(a: str = "a", b: str = "b") -> Column:
     return within & possible(most, f"n{a}", f"n{b}")
 
 
+def not_far(a: str = "a", b: str = "b") -> Column:
+    """Whether the bits of two sets leave room for the overlap that a link demands."""
+
+    def lacks(x: str, y: str) -> Column:
+        each = F.zip_with(f"bits{x}", f"bits{y}", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(each, F.lit(0), lambda total, part: total + part)
+
+    return possible(F.least(F.col(f"n{a}") - lacks(a, b), F.col(f"n{b}") - lacks(b, a)), f"n{a}", f"n{b}")
+
+
 def link_components(sets: DataFrame) -> DataFrame:
     """(node, root) of every set that has a link; sets are (node, n, shingles)."""
     nodes = ordered_sets(sets)
@@ -346,9 +366,15 @@ def link_components(sets: DataFrame) -> DataFrame:
         return marked.select("shingle", F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("root", "n", "u", "p")])
 
     able = (F.col("roota") < F.col("rootb")) & (F.col("ra") >= PERCENT * F.col("nb")) & (F.col("rb") >= PERCENT * F.col("na"))
-    met_roots = of_root("a").join(of_root("b"), "shingle").filter(able).select("shingle", "roota", "rootb")
-    met = met_roots.join(of_node("a"), ["shingle", "roota"]).join(of_node("b"), ["shingle", "rootb"])
-    pairs = met.filter(near()).select("a", "b").distinct()
+    met_roots = stored(of_root("a").join(of_root("b"), "shingle").filter(able).select("shingle", "roota", "rootb"), "met")
+    bits = sets.groupBy("node").agg(F.first("bits").alias("bits"))
+
+    def of_met(side: str) -> DataFrame:
+        rows = of_node(side).join(met_roots.select("shingle", f"root{side}").distinct(), ["shingle", f"root{side}"])
+        return rows.join(bits.select(F.col("node").alias(side), F.col("bits").alias(f"bits{side}")), side)
+
+    met = met_roots.join(of_met("a"), ["shingle", "roota"]).join(of_met("b"), ["shingle", "rootb"])
+    pairs = met.filter(near() & not_far()).select("a", "b").distinct()
     edges, _ = grow(edges, overlaps(pairs, nodes), prefix)
     return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
