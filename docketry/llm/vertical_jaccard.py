@@ -53,8 +53,8 @@ PIVOTS = (2.25, 2.5, 2.75, 3.0, 4.0, 8.0, 32.0)
 #: Another round of single neighbours comes while pairs between components outnumber prefix rows so many times.
 PAIRS_PER_ROW = 4
 ROUNDS = 4
-#: Rows of a batch; places in it have 16 bits.
-BATCH_ROWS = 60_000
+#: Rows of a batch, which bounds a task's memory; places in it have 16 bits.
+BATCH_ROWS = 4_000
 SHARED = 0xFFFF
 #: 64-bit words of the table of a set's shingles that bounds what two sets lack of each other.
 BIT_WORDS = 16
