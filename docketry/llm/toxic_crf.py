@@ -10,11 +10,13 @@ marginal, its expected number of offending words and its length, fitted on docum
 spans are runs of words with a marginal of a half or more, as code point offsets into the text.
 
 Bounds: training takes ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents at most (those whose ids hash lowest) and
-``WINDOWS_PER_DOC`` windows of ``WINDOW_WORDS`` words of each. Scoring covers every word of every document.
+``WINDOWS_PER_DOC`` windows of ``WINDOW_WORDS`` words of each. Scoring covers every word of every document. As each
+class has its own bound, the curve and the constant score weight the sampled documents by their class's count over all
+training labels: scores are chances in the labelled documents, not in the sample.
 
 Defined results: a null text is an empty one; a text without words gets the fitted curve's value at zero. Of several
 label rows of a document the largest label counts, labels other than 0 and 1 are left out. Where no word offends in
-training, every score is the share of toxic training documents (0 without any) and there are no spans.
+training, every score is the share of toxic ones among all training documents (0 without any) and there are no spans.
 """
 
 from __future__ import annotations
@@ -224,15 +226,19 @@ def spans_of(text: str, marginal: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float]:
-    """Logistic regression by Newton steps on standardised columns, with a pull to zero on the slopes."""
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float, float, float]:
+    """Logistic regression by Newton steps on standardised columns, with a pull to zero on the slopes.
+
+    ``weight`` is how many rows each row stands for; the pull stays that of the rows given.
+    """
+    weight = np.ones(len(x)) if weight is None else weight * (len(x) / weight.sum())
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     pull = np.diag([1.0, 1.0, 1.0, 1e-3])
     w = np.zeros(4)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + pull, z.T @ (p - y) + pull @ w)
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + pull, z.T @ (weight * (p - y)) + pull @ w)
         w = w - step
         if np.abs(step).max() < 1e-9:
             break
@@ -241,7 +247,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float]
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, fold: int) -> DataFrame:
-    """(doc_id, text, label, inner) of the labelled training documents, at most ``TOXIC_DOCS`` + ``CLEAN_DOCS`` ids.
+    """(doc_id, text, label, inner, weight) of the labelled training documents, at most ``TOXIC_DOCS`` + ``CLEAN_DOCS``
+    ids; the weight is how many ids of its class, among all labelled for training, a row stands for.
 
     The ids are that few by their limits, so they are broadcast and the text is not shuffled.
     """
@@ -253,9 +260,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int,
         .agg(F.max("label").alias("label"))
     )
     key = F.xxhash64("doc_id")
-    toxic = given.filter("label = 1").orderBy(key, "doc_id").limit(TOXIC_DOCS)
-    clean = given.filter("label = 0").orderBy(key, "doc_id").limit(CLEAN_DOCS)
-    sample = toxic.unionByName(clean).withColumn(
+    counts = {r["label"]: r["n"] for r in given.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    own = [
+        given.filter(F.col("label") == label)
+        .orderBy(key, "doc_id")
+        .limit(most)
+        .withColumn("weight", F.lit(max(1.0, counts.get(label, 0) / most)))
+        for label, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS))
+    ]
+    sample = own[0].unionByName(own[1]).withColumn(
         "inner", F.crc32(F.col("doc_id").cast("string")) % folds == CALIBRATION_FOLD
     )
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
@@ -310,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int =
     sample = stored(training_sample(docs, labels, target, folds, fold), "labelled")
     learn = sample.filter("NOT inner")
     terms = offending_terms(learn)
-    share = sample.agg(F.avg("label")).first()[0] or 0.0
+    share = sample.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0] or 0.0
     if not terms:
         return float(share)
     words, tags = windows(learn, terms)
@@ -325,17 +338,18 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int =
         memory: dict[str, float] = {}
         for batch in batches:
             found = chain.aggregate(*chain.marginals(batch["text"].tolist(), memory))
-            yield pd.DataFrame({"x": list(found), "label": batch["label"], "inner": batch["inner"]})
+            yield pd.DataFrame({"x": list(found)} | {c: batch[c] for c in ("label", "inner", "weight")})
 
-    rows = sample.select("text", "label", "inner").mapInPandas(read, "x array<double>, label int, inner boolean").collect()
+    columns = "x array<double>, label int, inner boolean, weight double"
+    rows = sample.select("text", "label", "inner", "weight").mapInPandas(read, columns).collect()
     unseen = [r for r in rows if r["inner"]]
     if {r["label"] for r in unseen} != {0, 1}:
         unseen = rows
     if {r["label"] for r in unseen} != {0, 1}:
         return float(share)
     unseen.sort(key=lambda r: (r["label"], r["x"]))
-    x, y = np.array([r["x"] for r in unseen]), np.array([r["label"] for r in unseen])
-    return Tagger(chain.weights, trans, start, fit_curve(x, y))
+    x, y, weight = (np.array([r[c] for r in unseen]) for c in ("x", "label", "weight"))
+    return Tagger(chain.weights, trans, start, fit_curve(x, y, weight))
 
 
 def predict(text: Column, model: Tagger | float) -> Column:

@@ -106,6 +106,24 @@ def test_toxicity(spark, corpus, no_docs):
     assert {r["score"] for r in t.classify(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_scores_follow_the_label_rate_not_the_sample(spark, corpus, monkeypatch):
+    rows, docs, labels = corpus
+    seen = []
+    plain = t.fit_curve
+    monkeypatch.setattr(t, "fit_curve", lambda x, y, *weight: seen.append((x, y, *weight)) or plain(x, y, *weight))
+    docs, labels = docs.dropDuplicates(["doc_id"]), labels.filter("doc_id < 1000").distinct()
+    given = [r["toxic"] for r in labels.filter(~t.held_out("doc_id", 4, 2)).collect()]
+    monkeypatch.setattr(t, "CLEAN_DOCS", 60)
+    monkeypatch.setattr(t, "TOXIC_DOCS", 50)
+    model = t.fit(docs, labels)
+    (x, y, weight), rate = seen[0], {c: max(1, given.count(c) / n) for c, n in ((0, 60), (1, 50))}
+    assert rate[0] > 2 and np.allclose(weight, [rate[c] for c in y])
+    # The curve's mean score is the weighted share of its rows, as of any logistic regression with an intercept.
+    assert np.isclose(np.average(model.scores(x), weights=weight), np.average(y, weights=weight), atol=1e-3)
+    monkeypatch.setattr(t, "MIN_LIFT", 99.0)
+    assert np.isclose(t.fit(docs, labels), sum(given) / len(given))
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(3)
     lengths = np.array([1, 4, 2, 6])
