@@ -9,8 +9,10 @@ step; with two states each is one recurrence of a ratio. A document's score is a
 marginal, its expected number of offending words and its length, fitted on documents the chain has not seen; the
 spans are runs of words with a marginal of a half or more, as code point offsets into the text.
 
-Bounds: training takes ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents at most (those whose ids hash lowest) and
-``WINDOWS_PER_DOC`` windows of ``WINDOW_WORDS`` words of each. Scoring covers every word of every document. As each
+Bounds: training takes ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents at most (those whose ids hash lowest), and
+the ``MAX_TERMS`` terms of the largest lift. Terms are counted over whole documents. The chain learns from whole
+sentences, cut where scoring cuts: all that hold a word with an offending term, in documents of both classes, and
+``OTHER_SENTENCES`` of each document's other ones, evenly spread. Scoring covers every word of every document. As each
 class has its own bound, the curve and the constant score weight the sampled documents by their class's count over all
 training labels: scores are chances in the labelled documents, not in the sample.
 
@@ -36,8 +38,7 @@ from docketry.llm.common import arrow_udf, held_out, keep_rows, ship, stored, ta
 
 TOXIC_DOCS = 6_000
 CLEAN_DOCS = 10_000
-WINDOWS_PER_DOC = 4
-WINDOW_WORDS = 16
+OTHER_SENTENCES = 4
 MIN_LIFT = 2.5
 MIN_DOCS = 4
 MAX_TERMS = 20_000
@@ -103,11 +104,20 @@ def forward_backward(weight: np.ndarray, seq: Sequences, trans: np.ndarray, star
     return ahead, back
 
 
-def train(tokens: np.ndarray, tags: np.ndarray, lengths: np.ndarray, rounds: int = 80, pull: float = 0.02):
+def train(
+    tokens: np.ndarray,
+    tags: np.ndarray,
+    lengths: np.ndarray,
+    rounds: int = 80,
+    pull: float = 0.02,
+    place: np.ndarray | None = None,
+):
     """Maximum likelihood of the tag sequences with an L2 pull, by full-batch adaptive gradient steps.
 
-    ``tokens`` is tokens x features. Returns feature weights, transition weights [from, to] and the start weight.
+    ``tokens`` is tokens x features; with ``place``, it is words x features and ``place`` names each token's word.
+    Returns feature weights, transition weights [from, to] and the start weight.
     """
+    place = np.arange(len(tokens)) if place is None else place
     size = 1 << HASH_BITS
     weights, trans, start = np.zeros(size), np.zeros((2, 2)), 0.0
     first = np.cumsum(lengths) - lengths
@@ -120,18 +130,19 @@ def train(tokens: np.ndarray, tags: np.ndarray, lengths: np.ndarray, rounds: int
     flat = tokens.ravel()
     gain, gain_t, gain_s = np.full(size, 1e-8), np.full((2, 2), 1e-8), 1e-8
     for _ in range(rounds):
-        emit = weights[tokens].sum(axis=1)
+        emit = weights[tokens].sum(axis=1)[place]
         expt = np.exp(trans)
         ahead, back = forward_backward(emit, seq, expt, start)
         odds = np.minimum(ahead * back, 1e12)
         marginal = odds / (1 + odds)
         # Joint of neighbours: forward ratio on the left, token weight and backward ratio on the right.
         left, right = ahead[here - 1], np.exp(np.clip(emit[here], -30, 30)) * back[here]
-        joint = np.stack([expt[0, 0] + 0 * left, expt[0, 1] * right, expt[1, 0] * left, expt[1, 1] * left * right], axis=1)
-        joint /= joint.sum(axis=1, keepdims=True)
-        wrong = np.repeat(tags - marginal, N_FEATURES)
+        joint = [expt[0, 0], expt[0, 1] * right, expt[1, 0] * left, expt[1, 1] * left * right]
+        total = joint[0] + joint[1] + joint[2] + joint[3]
+        joint = np.array([(x / total).sum() for x in joint])
+        wrong = np.repeat(np.bincount(place, weights=tags - marginal, minlength=len(tokens)), N_FEATURES)
         grad = np.bincount(flat, weights=wrong, minlength=size) - pull * weights
-        grad_t = seen - joint.sum(axis=0).reshape(2, 2) - pull * trans
+        grad_t = seen - joint.reshape(2, 2) - pull * trans
         grad_s = float((tags - marginal)[first].sum()) - pull * start
         gain += grad * grad
         gain_t += grad_t * grad_t
@@ -297,25 +308,33 @@ def offending_terms(sample: DataFrame) -> set[str]:
     return {r["term"] for r in best.orderBy(F.desc("lift"), "term").limit(MAX_TERMS).select("term").collect()}
 
 
-def windows(sample: DataFrame, terms: set[str]) -> tuple[list[list[str]], list[list[int]]]:
-    """Words and tags of at most ``WINDOWS_PER_DOC`` windows of each document: around tagged words, else evenly spread."""
+def sentences(sample: DataFrame, terms: set[str]) -> list[tuple[str, bytes]]:
+    """Whole sentences to train on, their words with a space between them and a tag for each: of every document, toxic or
+    not, all that hold a word with one of the terms, and ``OTHER_SENTENCES`` of the others at most, evenly spread."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                words = [p for p in parts_of(text) if p not in _BREAKS]
-                tags = [int(label and any(s in terms for s in stems(w))) for w in words]
-                hits = [i for i, t in enumerate(tags) if t]
-                spread = range(0, len(words), max(1, len(words) // WINDOWS_PER_DOC))
-                for i in (hits or spread)[:WINDOWS_PER_DOC]:
-                    s = max(0, i - WINDOW_WORDS // 2)
-                    rows.append((words[s : s + WINDOW_WORDS], tags[s : s + WINDOW_WORDS]))
+                others: list[list[str]] = []
+                own: list[str] = []
+                for part in [*parts_of(text), "."]:
+                    if part not in _BREAKS:
+                        own.append(part)
+                    elif own:
+                        hits = [any(s in terms for s in stems(w)) for w in own]
+                        if any(hits):
+                            rows.append((" ".join(own), bytes(h and label for h in hits)))
+                        else:
+                            others.append(own)
+                        own = []
+                n = min(len(others), OTHER_SENTENCES)
+                for words in (others[(2 * k + 1) * len(others) // (2 * n)] for k in range(n)):
+                    rows.append((" ".join(words), bytes(len(words))))
             yield pd.DataFrame(rows, columns=["words", "tags"])
 
-    found = sample.select("text", "label").mapInPandas(cut, "words array<string>, tags array<int>")
-    rows = sorted((r["words"], r["tags"]) for r in found.collect() if r["words"])
-    return [r[0] for r in rows], [r[1] for r in rows]
+    found = sample.select("text", "label").mapInPandas(cut, "words string, tags binary")
+    return sorted((r["words"], bytes(r["tags"])) for r in found.collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int = 4, fold: int = 2) -> Tagger | float:
@@ -326,12 +345,14 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int =
     share = sample.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0] or 0.0
     if not terms:
         return float(share)
-    words, tags = windows(learn, terms)
-    known: dict[str, list[int]] = {}
-    tokens = np.array([known.get(w) or known.setdefault(w, features(w)) for own in words for w in own])
+    rows = sentences(learn, terms)
+    known: dict[str, int] = {}
+    place = np.fromiter((known.setdefault(w, len(known)) for words, _ in rows for w in words.split(" ")), np.int32)
+    tags = np.frombuffer(b"".join(tags for _, tags in rows), np.int8)
     weights, trans, start = train(
-        tokens, np.array([t for own in tags for t in own]), np.array([len(own) for own in words])
+        np.array([features(w) for w in known]), tags, np.array([len(tags) for _, tags in rows]), place=place
     )
+    del rows, known, place, tags
     chain = Tagger(np.round(weights, 4).astype(np.float32), trans, start)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

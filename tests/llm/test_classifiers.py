@@ -124,6 +124,29 @@ def test_scores_follow_the_label_rate_not_the_sample(spark, corpus, monkeypatch)
     assert np.isclose(t.fit(docs, labels), sum(given) / len(given))
 
 
+def test_training_reads_all_sentences_with_a_term(spark):
+    plain = " ".join(f"plain{i}" for i in range(40))
+    toxic = ". ".join([f"You bad{i} one" for i in range(9)] + [plain])
+    clean = "\n".join([plain] * 7 + [plain + " bad tooth"] + [plain] * 7)
+    sample = spark.createDataFrame([(toxic, 1), (clean, 0), (None, 0), ("?!", 1)], "text string, label int")
+    found = t.sentences(sample, {f"wbad{i}" for i in range(9)} | {"wbad"})
+    held = [(words, list(tags)) for words, tags in found if "bad" in words]
+    assert held == sorted([(f"you bad{i} one", [0, 1, 0]) for i in range(9)] + [(plain + " bad tooth", [0] * 42)])
+    # No sentence is cut or joined to the next one.
+    others = [(words, list(tags)) for words, tags in found if "bad" not in words]
+    assert others == [(plain, [0] * 40)] * (1 + t.OTHER_SENTENCES)
+
+
+def test_training_by_words_equals_training_by_tokens():
+    words = ["a", "bad", "bad", "c", "d", "a", "bad"] * 4
+    tags, lengths = np.array([0, 1, 1, 0, 0, 0, 1] * 4), np.array([4, 3] * 4)
+    known = sorted(set(words))
+    by_token = t.train(np.array([t.features(w) for w in words]), tags, lengths, 20)
+    place = np.array([known.index(w) for w in words])
+    by_word = t.train(np.array([t.features(w) for w in known]), tags, lengths, 20, place=place)
+    assert all(np.allclose(x, y) for x, y in zip(by_token, by_word, strict=True))
+
+
 def test_forward_backward_against_all_paths():
     rng = np.random.default_rng(3)
     lengths = np.array([1, 4, 2, 6])
