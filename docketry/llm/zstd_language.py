@@ -1,7 +1,9 @@
 """Language identification by compression: a text belongs to the language whose sample compresses it best.
 
 Each language has one zstandard raw-content dictionary, cut from a bounded sample of labelled texts: of the
-``SAMPLE_DOCS`` texts whose ids hash lowest, ``SAMPLE_BYTES`` at most of each, ``DICTIONARY_BYTES`` in all. A
+``SAMPLE_DOCS`` texts whose ids hash lowest, ``SAMPLE_BYTES`` at most of each, ``DICTIONARY_BYTES`` in all. A longer
+text gives ``PIECES`` pieces, one from each part of it, at a place that the text's hash picks: a shared header gets no
+more of the dictionary than its share of the text, and equal texts still count once. A
 text is compressed whole, once per dictionary, in frames of ``FRAME_BYTES`` each: every frame sees the dictionary
 and not what the text itself repeats. The smallest sum names the language. Its lead over the next one, in bits per
 byte of text, is the margin; below ``MIN_MARGIN`` the answer is rejected. Case is folded and all ASCII characters but
@@ -27,6 +29,7 @@ from docketry.llm.common import arrow_udf, held_out, keep_rows, table
 
 SAMPLE_DOCS = 256
 SAMPLE_BYTES = 1024
+PIECES = 4
 DICTIONARY_BYTES = 112 * 1024
 FRAME_BYTES = 1024
 LEVEL = 7
@@ -35,6 +38,22 @@ MIN_MARGIN = 0.02
 UNKNOWN = "und"
 
 
+#: Bytes of a piece; a line feed stands between two.
+PIECE_BYTES = (SAMPLE_BYTES - PIECES + 1) // PIECES
+
+
+def pieces(text: Column) -> Column:
+    """A text of at most ``SAMPLE_BYTES`` bytes as it is, of a longer one a piece from each of ``PIECES`` equal parts."""
+    part = F.floor(F.length(text) / PIECES).cast("int")
+    size = F.least(part, F.lit(PIECE_BYTES))
+    places = [
+        (F.lit(k) * part + F.pmod(F.xxhash64(text, F.lit(k)), (part - size + 1).cast("long"))).cast("int") + 1
+        for k in range(PIECES)
+    ]
+    spread = F.array(*[F.substring(text, at, size) for at in places])
+    return F.when(F.octet_length(text) <= SAMPLE_BYTES, F.array(text)).otherwise(spread)
+
+
 def learn_dictionaries(
     docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> dict[str, bytes]:
@@ -45,13 +64,14 @@ def learn_dictionaries(
     """
     key = F.xxhash64(F.col(doc_id))
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), key.alias("key"), F.col(doc_id).alias("doc_id"), F.substring(F.col(text), 1, SAMPLE_BYTES).alias("text")
+        F.col(lang).alias("lang"), key.alias("key"), F.col(doc_id).alias("doc_id"), pieces(F.col(text)).alias("text")
     )
     lowest = Window.partitionBy("lang").orderBy("key", "doc_id", "text")
     sample = rows.withColumn("place", F.row_number().over(lowest)).filter(F.col("place") <= SAMPLE_DOCS)
     found: dict[str, list[tuple[int, bytes]]] = {}
     for r in sample.select("lang", "place", "text").toLocalIterator():
-        found.setdefault(r["lang"], []).append((r["place"], letters(r["text"])[:SAMPLE_BYTES]))
+        most = SAMPLE_BYTES if len(r["text"]) == 1 else PIECE_BYTES
+        found.setdefault(r["lang"], []).append((r["place"], b"\n".join([letters(p)[:most] for p in r["text"]])))
     out = {}
     for lang_name, parts in sorted(found.items()):
         distinct = list(dict.fromkeys(p for _, p in sorted(parts)))

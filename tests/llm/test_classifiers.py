@@ -88,6 +88,21 @@ def test_language(spark, corpus, no_docs):
     assert tie[0] == "aa" and tie[3]
 
 
+def test_dictionaries_read_the_whole_text(spark):
+    header, schema = "all rights reserved by the author of this page " * 40, "doc_id long, text string, lang string"
+    rows = [(i, header + f"größe straße{i} " * 400, "de") for i in range(40)]
+    rows += [(100 + i, "и" * 300 + "ж" * 300 + "щ" * 300 + "ю" * 300, "ru") for i in range(3)]
+    rows += [(200, "short text", "en"), (201, None, "en"), (202, "", "en"), (203, "漢字" * 300, "zh")]
+    docs = spark.createDataFrame(rows, schema)
+    found = z.learn_dictionaries(docs, z.F.lit(True))
+    assert found["de"].count("straße".encode()) > 40 * 10 and b"rights reserved" in found["de"]
+    # Letters of two bytes don't crowd out the text's last parts, and equal texts count once.
+    assert {"и", "ж", "щ", "ю"} <= set(found["ru"].decode(errors="ignore")) and len(found["ru"]) <= z.SAMPLE_BYTES
+    assert found["zh"].count(b"\n") == z.PIECES - 1 and len(found["zh"]) <= z.SAMPLE_BYTES
+    assert found["en"].strip() == b"short text"
+    assert all(len(x) <= z.DICTIONARY_BYTES for x in found.values())
+
+
 def test_toxicity(spark, corpus, no_docs):
     rows, docs, labels = corpus
     found = t.classify(docs, labels).collect()
