@@ -128,9 +128,8 @@ class Encoder:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         self.spaces = regex.compile(f"[^{SPACE}]+")
         self.pieces_or_end = regex.compile(self.pieces.pattern + "|\n")
-        #: what is remembered of a word: its ids as bytes, and its tokens with a space between them
+        #: what is remembered of a word: its ids as bytes
         self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, str] = {}
         self.rank_keys = np.array(sorted(self.rank), np.int64)
         self.rank_of = np.array([self.rank[k] for k in self.rank_keys.tolist()], np.int64)
 
@@ -194,7 +193,7 @@ class Encoder:
         return symbol[alive], np.cumsum(alive)[ends - 1]
 
     def learn(self, words: list[str]) -> None:
-        """Adds these words, each with its ids as bytes and their decoded form."""
+        """Adds these words, each with its ids as bytes."""
         parts: list[list[str]] = []
         plain = words
         if self.special and any("<|" in w for w in words):
@@ -215,35 +214,30 @@ class Encoder:
         fresh = list({x: None for own in parts for x in own})
         if fresh:
             ids, ends = self.index_and_merge(fresh)
-            raw, names = ids.astype("<u4").tobytes(), [self.tokens[i] for i in ids.tolist()]
+            raw = ids.astype("<u4").tobytes()
             ends = ends.tolist()
             starts = [0, *ends[:-1]]
             coded = {x: raw[4 * s : 4 * e] for x, s, e in zip(fresh, starts, ends, strict=True)}
-            shown = {x: " ".join(names[s:e]) for x, s, e in zip(fresh, starts, ends, strict=True)}
         for word, own in zip(plain, parts, strict=True):
-            if len(own) == 1:
-                self.ids[word], self.shown[word] = coded[own[0]], shown[own[0]]
-            else:
-                self.ids[word] = b"".join([coded[x] for x in own])
-                self.shown[word] = " ".join([shown[x] for x in own])
+            self.ids[word] = coded[own[0]] if len(own) == 1 else b"".join([coded[x] for x in own])
 
     def learn_special(self, word: str) -> None:
         """A word that holds strings of special tokens: what lies between them is encoded by itself."""
-        ids, shown, at = [], [], 0
+        ids, at = [], 0
         for m in [*self.specials.finditer(word), None]:
             between = word[at : m.start() if m else len(word)]
             if between:
                 self.learn([between])
                 ids.append(self.ids[between])
-                shown.append(self.shown[between])
             if m:
                 ids.append(np.array([self.special[m[0]]], "<u4").tobytes())
-                shown.append(m[0])
                 at = m.end()
-        self.ids[word], self.shown[word] = b"".join(ids), " ".join(filter(None, shown))
+        self.ids[word] = b"".join(ids)
 
     def joined(self, words: list[str]) -> tuple[bytes, str]:
-        return b"".join(map(self.ids.__getitem__, words)), " ".join(filter(None, map(self.shown.__getitem__, words)))
+        """The ids of the words, and what ``decode`` makes of these ids."""
+        ids = b"".join(map(self.ids.__getitem__, words))
+        return ids, decode(ids, self.tokens)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian 32-bit integers, decoded text) of each text.
@@ -261,7 +255,6 @@ class Encoder:
             unknown.clear()
             if len(self.ids) > MEMORY_WORDS:
                 self.ids.clear()
-                self.shown.clear()
 
         for text in texts:
             words = self.words(text) if text else []
@@ -274,7 +267,7 @@ class Encoder:
 
 def decode(ids: bytes, tokens: dict[int, str]) -> str:
     """The tokens with a space between them: the file names no decoder."""
-    return " ".join(tokens[i] for i in np.frombuffer(ids, "<u4").tolist())
+    return " ".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @lru_cache(maxsize=2)

@@ -47,6 +47,14 @@ def test_generated_texts(own, library, texts):
     agrees(own, library, texts)
 
 
+def test_decoded_text_comes_from_the_ids():
+    encoder = bpe.Encoder(PATH)
+    list(encoder.encode(["two words"]))
+    encoder.ids["two"] = encoder.ids["words"]
+    [(ids, decoded)] = encoder.encode(["two words"])
+    assert ids == 2 * encoder.ids["words"] and decoded == "words</w> words</w>"
+
+
 def test_memory_does_not_change_results(library, monkeypatch):
     monkeypatch.setattr(bpe, "MEMORY_WORDS", 3)
     monkeypatch.setattr(bpe, "INDEX_WORDS", 2)
