@@ -1,5 +1,5 @@
-"""Exact n-gram Jaccard join by vertical partitioning: the n-gram order is cut into fragments, overlaps are counted
-in each fragment for itself, and summed per document or pair.
+"""Exact n-gram Jaccard join: shared shingles are counted by fragments of the shingle order and summed per document; pairs
+come from a prefix filter and are checked on whole sets. The vertical join of pairs by fragment is not built.
 
 Two documents link when 100 * |A and B| >= 75 * |A or B| for their sets of five-word shingles (``shingles``). The
 result names each document's component under these links. Pairs inside a large group of near copies are never
@@ -19,8 +19,8 @@ all made; no link that could change a component is lost.
    frequent one. Sizes, places and small bit tables bound the overlap before a pair is made. Links found join classes into components. Then all pairs *between* components that share
    a prefix shingle are candidates, found over (shingle, component) rows; if they are many, another
    round with other neighbours comes before. Pairs within a component need no look: they can't change it.
-5. *Overlaps.* The segments of a candidate pair meet fragment by fragment, each gives a partial overlap, and the sum
-   decides.
+5. *Overlaps.* The two whole sets of a candidate pair are joined into one row, and the size of their intersection
+   decides. It is added up over the segments within one expression; no fragment is joined, grouped or counted apart.
 
 Defined results: a null or empty text and one without words have an empty set and no link; a row without id is returned
 with its set's size and a null component. Rows that share an id are judged one by one; repeated rows link like
@@ -283,7 +283,7 @@ def ordered_sets(sets: DataFrame) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Linked pairs (a, b) of candidate pairs: a partial overlap for each fragment, then their sum."""
+    """Linked pairs (a, b) of candidate pairs, by the overlap of the whole sets; the segments are slices of one row."""
 
     def side(x: str) -> DataFrame:
         return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("segments").alias(f"s{x}"))
