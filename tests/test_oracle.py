@@ -3,14 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+import bench
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
 
-# They run the same classification workflow as report_overview, which is tested.
-SAME_WORK = {"workflow_classification", "report_sink_roundtrip"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -22,7 +20,7 @@ def test_matches_sql(spark, con, name):
     assert compare(spark, con, entry.queries()[name], ORACLES[name], SF_DIR) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES) - SAME_WORK))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES)))
 def test_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF_DIR).count() > 0
 
@@ -31,6 +29,10 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
 
 
+def test_headline_has_the_heaviest_queries():
+    assert {"workflow_classification", "workflow_regression", "pipeline"} <= set(bench.HEADLINE) <= set(entry.queries())
+
+
 def test_entry(spark):
     found = entry.entry(spark).collect()
     assert {r["split"] for r in found} == {"train", "validation", "test"}
