@@ -104,10 +104,10 @@ def compile_globs(globs: Sequence[str]) -> Automaton:
         start[at // 64] |= np.uint64(1) << np.uint64(at % 64)
         for t in parts:
             if t in ("*", "**"):
-                bit = np.uint64(1) << np.uint64(at % 64)
-                loop[:, at // 64] |= bit
-                if t == "*":
-                    loop[row_of["/"], at // 64] &= ~bit
+                # Stars side by side share a state, which keeps what any of them passes.
+                passes = np.ones(len(loop), bool)
+                passes[row_of["/"]] = t == "**"
+                loop[passes, at // 64] |= np.uint64(1) << np.uint64(at % 64)
                 continue
             at += 1
             bit = np.uint64(1) << np.uint64(at % 64)
