@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -98,6 +99,10 @@ def classification_scores(scored: DataFrame, target: str, labels: Sequence) -> D
     return metrics.classification_metrics(counts).withColumn("multiclass_brier", brier.scalar())
 
 
+#: Faults of the cluster, not of a model: these end a comparison.
+_LOST = re.compile(r"ExecutorLost|FetchFailed|SparkContext was shut down|cancelled|No space left|OutOfMemory|Answer from Java side is empty")
+
+
 def compare_classifiers(
     specs: Sequence[ModelSpec],
     train: DataFrame,
@@ -117,6 +122,8 @@ def compare_classifiers(
             )
             results.append((*head, "", *classification_scores(scored, target, labels).first()))
         except Exception as error:  # noqa: BLE001 - the comparison reports what failed
+            if _LOST.search(str(error)):
+                raise
             results.append((*head, f"{type(error).__name__}: {error}", None, None, None, None, None))
     return small_table(train.sparkSession, results, COMPARISON)
 

@@ -156,7 +156,7 @@ def test_classification(spark, prepared, tmp_path):
     run = workflows.train_classification(tagged, specs=specs, min_count=10)
     rows = run.comparison.collect()
     assert [r["model"] for r in rows] == ["logistic_text_only", "dummy_prior", "broken"]
-    assert rows[2]["error"] == "cannot be fitted" and rows[2]["macro_f1"] is None
+    assert rows[2]["error"] == "ValueError: cannot be fitted" and rows[2]["macro_f1"] is None
     summary = run.summary.first()
     assert summary["labels"] == ["Information", "Plainte", "Requete"]
     support = run.class_report.agg(F.sum("support")).first()[0]
