@@ -71,3 +71,15 @@ def arrow_udf(schema: str):
     """``pandas_udf`` for functions that use this package."""
     ship(SparkSession.active())
     return F.pandas_udf(schema)
+
+
+#: Text bytes that a Python worker is handed at a time, where a row isn't longer.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what Python workers are handed at a time by bytes, not rows alone, from now on in this session.
+
+    Ten thousand rows, Spark's bound, are as large as their texts; results don't depend on the cut.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

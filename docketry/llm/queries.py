@@ -7,6 +7,7 @@ from docketry.llm import (
     chat_parts,
     fertility,
     learned_partitions,
+    periodic_runs,
     quality_qda,
     toxic_crf,
     url_globs,
@@ -26,6 +27,7 @@ MODULES = (
     vertical_jaccard,
     var_packing,
     toxic_crf,
+    periodic_runs,
 )
 
 
