@@ -9,6 +9,7 @@ from docketry.llm import (
     learned_partitions,
     periodic_runs,
     quality_qda,
+    simhash_tiles,
     toxic_crf,
     url_globs,
     var_packing,
@@ -28,6 +29,7 @@ MODULES = (
     var_packing,
     toxic_crf,
     periodic_runs,
+    simhash_tiles,
 )
 
 
