@@ -8,6 +8,7 @@ from docketry.llm import (
     fertility,
     learned_partitions,
     periodic_runs,
+    prefix_trie,
     quality_qda,
     simhash_tiles,
     toxic_crf,
@@ -29,6 +30,7 @@ MODULES = (
     var_packing,
     toxic_crf,
     periodic_runs,
+    prefix_trie,
     simhash_tiles,
 )
 
