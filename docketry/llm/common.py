@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 from uuid import uuid4
 
@@ -83,3 +83,22 @@ def small_batches(spark: SparkSession) -> None:
     Ten thousand rows, Spark's bound, are as large as their texts; results don't depend on the cut.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+#: Text bytes that a task works on at a time, where a text isn't longer.
+SLICE_BYTES = 1 << 20
+
+
+def byte_slices(texts: Sequence[str | None], most: int = SLICE_BYTES) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of some ``most`` characters; a longer text is a list of its own."""
+    part: list[str | None] = []
+    size = 0
+    for text in texts:
+        n = len(text or "")
+        if part and size + n > most:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += n + 1
+    if part:
+        yield part

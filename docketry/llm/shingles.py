@@ -16,7 +16,7 @@ import numpy as np
 
 SIZE = 5
 #: Bytes of text that one pass of the array code takes (a longer text makes a pass of its own).
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

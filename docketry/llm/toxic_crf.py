@@ -12,18 +12,22 @@ spans are runs of words with a marginal of a half or more, as code point offsets
 Bounds: training takes ``TOXIC_DOCS`` and ``CLEAN_DOCS`` labelled documents at most (those whose ids hash lowest), and
 the ``MAX_TERMS`` terms of the largest lift. Terms are counted over whole documents. The chain learns from whole
 sentences, cut where scoring cuts: all that hold a word with an offending term, in documents of both classes, and
-``OTHER_SENTENCES`` of each document's other ones, evenly spread. Scoring covers every word of every document. As each
+``OTHER_SENTENCES`` of each document's other ones, evenly spread; ``MAX_SENTENCES`` in all. A sentence without a mark is
+cut after ``LONGEST`` words, in training as in scoring. Scoring covers every word of every document. As each
 class has its own bound, the curve and the constant score weight the sampled documents by their class's count over all
 training labels: scores are chances in the labelled documents, not in the sample.
 
 Defined results: a null text is an empty one; a text without words gets the fitted curve's value at zero. Of several
 label rows of a document the largest label counts, labels other than 0 and 1 are left out. Where no word offends in
 training, every score is the share of toxic ones among all training documents (0 without any) and there are no spans.
+An empty table gives an empty result; columns of other names are not looked at. Work is cut by text bytes, so a very
+long text is a slice of its own.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import arrow_udf, held_out, keep_rows, ship, stored, table
+from docketry.llm.common import arrow_udf, byte_slices, held_out, keep_rows, ship, small_batches, stored, table
 
 TOXIC_DOCS = 6_000
 CLEAN_DOCS = 10_000
@@ -42,6 +46,12 @@ OTHER_SENTENCES = 4
 MIN_LIFT = 2.5
 MIN_DOCS = 4
 MAX_TERMS = 20_000
+#: Words after which a sequence ends without a mark, in training and in scoring; the longest one sets the number of steps.
+LONGEST = 256
+#: Sentences that the chain learns from at most, those whose hashes are lowest.
+MAX_SENTENCES = 400_000
+#: Words whose weights a task remembers.
+MEMORY = 200_000
 HASH_BITS = 18
 CALIBRATION_FOLD = 3
 THRESHOLD = 0.3
@@ -165,16 +175,17 @@ class Tagger:
     def marginals(self, texts: list[str | None], memory: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
         """Marginals of all words of the texts, one after the other, and the number of words of each text."""
         weights = self.weights
-        found: list[float] = []
-        sizes, lengths = [], []
+        found = array("d")
+        sizes, lengths = array("q"), array("q")
         for text in texts:
             before, run = len(found), 0
             for part in parts_of(text):
-                if part in _BREAKS:
+                if part in _BREAKS or run == LONGEST:
                     if run:
                         lengths.append(run)
                         run = 0
-                    continue
+                    if part in _BREAKS:
+                        continue
                 w = memory.get(part)
                 if w is None:
                     w = memory[part] = float(weights[features(part)].sum())
@@ -189,6 +200,13 @@ class Tagger:
         odds = np.minimum(ahead * back, 1e12)
         return odds / (1 + odds), np.array(sizes, np.int64)
 
+    def judge(self, texts: list[str | None], memory: dict[str, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of some texts, the marginals of all their words, and where each text's words end."""
+        if len(memory) > MEMORY:
+            memory.clear()
+        marginal, sizes = self.marginals(texts, memory)
+        return self.scores(self.aggregate(marginal, sizes)), marginal, np.cumsum(sizes)
+
     def aggregate(self, marginal: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """texts x 3: what the curve reads of each text."""
         ends = np.cumsum(sizes)
@@ -319,22 +337,24 @@ def sentences(sample: DataFrame, terms: set[str]) -> list[tuple[str, bytes]]:
                 others: list[list[str]] = []
                 own: list[str] = []
                 for part in [*parts_of(text), "."]:
-                    if part not in _BREAKS:
+                    if part not in _BREAKS and len(own) < LONGEST:
                         own.append(part)
-                    elif own:
+                        continue
+                    if own:
                         hits = [any(s in terms for s in stems(w)) for w in own]
                         if any(hits):
                             rows.append((" ".join(own), bytes(h and label for h in hits)))
                         else:
                             others.append(own)
-                        own = []
+                    own = [] if part in _BREAKS else [part]
                 n = min(len(others), OTHER_SENTENCES)
                 for words in (others[(2 * k + 1) * len(others) // (2 * n)] for k in range(n)):
                     rows.append((" ".join(words), bytes(len(words))))
             yield pd.DataFrame(rows, columns=["words", "tags"])
 
     found = sample.select("text", "label").mapInPandas(cut, "words string, tags binary")
-    return sorted((r["words"], bytes(r["tags"])) for r in found.collect())
+    chosen = found.orderBy(F.xxhash64("words", "tags"), "words", "tags").limit(MAX_SENTENCES)
+    return sorted((r["words"], bytes(r["tags"])) for r in chosen.collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int = 4, fold: int = 2) -> Tagger | float:
@@ -358,8 +378,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", folds: int =
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory: dict[str, float] = {}
         for batch in batches:
-            found = chain.aggregate(*chain.marginals(batch["text"].tolist(), memory))
-            yield pd.DataFrame({"x": list(found)} | {c: batch[c] for c in ("label", "inner", "weight")})
+            found = [x for part in byte_slices(batch["text"].tolist()) for x in chain.aggregate(*chain.marginals(part, memory))]
+            yield pd.DataFrame({"x": found} | {c: batch[c].tolist() for c in ("label", "inner", "weight")})
 
     columns = "x array<double>, label int, inner boolean, weight double"
     rows = sample.select("text", "label", "inner", "weight").mapInPandas(read, columns).collect()
@@ -385,25 +405,36 @@ def predict(text: Column, model: Tagger | float) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memory: dict[str, float] = {}
         for texts in batches:
-            whole = texts.tolist()
             rows: list[tuple] = []
-            for at in range(0, len(whole), 1024):
-                part = whole[at : at + 1024]
-                if len(memory) > 500_000:
-                    memory.clear()
-                marginal, sizes = model.marginals(part, memory)
-                score = model.scores(model.aggregate(marginal, sizes))
-                ends = np.cumsum(sizes)
-                for t, p, s, e in zip(part, score.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
-                    spans = [{"start": a, "end": b} for a, b in spans_of(t, marginal[s:e])] if e > s else []
+            for part in byte_slices(texts.tolist()):
+                score, marginal, ends = model.judge(part, memory)
+                start = 0
+                for t, p, end in zip(part, score.tolist(), ends.tolist(), strict=True):
+                    spans = [{"start": a, "end": b} for a, b in spans_of(t, marginal[start:end])] if end > start else []
                     rows.append((p, int(p >= THRESHOLD), spans))
+                    start = end
             yield pd.DataFrame(rows, columns=["score", "predicted", "spans"])
 
     return run(text)
 
 
+def is_clean(text: Column, model: Tagger | float) -> Column:
+    """Whether a text is not predicted toxic; spans are not made."""
+    if isinstance(model, float):
+        return F.lit(model < THRESHOLD)
+
+    @arrow_udf("boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memory: dict[str, float] = {}
+        for texts in batches:
+            yield pd.Series([p < THRESHOLD for part in byte_slices(texts.tolist()) for p in model.judge(part, memory)[0].tolist()], dtype=bool)
+
+    return run(text)
+
+
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
     """(doc_id, held_out, score, predicted, spans) of each row; learned from labelled rows that aren't held out."""
+    small_batches(docs.sparkSession)
     model = fit(docs, labels, folds=folds, fold=fold)
     found = docs.select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), predict(F.col("text"), model).alias("found"))
     return found.select("doc_id", "held_out", "found.*")
@@ -411,7 +442,8 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2)
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    return keep_rows(docs, predict(F.col("text"), fit(docs, labels))["predicted"] == 0)
+    small_batches(docs.sparkSession)
+    return keep_rows(docs, is_clean(F.col("text"), fit(docs, labels)))
 
 
 def op10_toxic_crf(spark, sf_dir: str) -> DataFrame:

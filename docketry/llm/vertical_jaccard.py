@@ -1,5 +1,5 @@
-"""Exact n-gram Jaccard join: shared shingles are counted by fragments of the shingle order and summed per document; pairs
-come from a prefix filter and are checked on whole sets. The vertical join of pairs by fragment is not built.
+"""Exact n-gram Jaccard join by vertical partitioning: the global shingle order is cut into fragments, candidate pairs are
+joined with the segments of their sets fragment by fragment, and the partial overlaps are summed per pair.
 
 Two documents link when 100 * |A and B| >= 75 * |A or B| for their sets of five-word shingles (``shingles``). The
 result names each document's component under these links. Pairs inside a large group of near copies are never
@@ -16,11 +16,12 @@ all made; no link that could change a component is lost.
    ``PIVOTS`` cut it into fragments.
 4. *Candidates.* Linked sets share a shingle among the first n - ceil(0.75 n) + 1 of each (prefix). First every
    class meets one neighbour only: of each prefix shingle the class with the lowest hash, and of these the most
-   frequent one. Sizes, places and small bit tables bound the overlap before a pair is made. Links found join classes into components. Then all pairs *between* components that share
+   frequent one. Links found join classes into components. Then all pairs *between* components that share
    a prefix shingle are candidates, found over (shingle, component) rows; if they are many, another
-   round with other neighbours comes before. Pairs within a component need no look: they can't change it.
-5. *Overlaps.* The two whole sets of a candidate pair are joined into one row, and the size of their intersection
-   decides. It is added up over the segments within one expression; no fragment is joined, grouped or counted apart.
+   round with other neighbours comes before. Pairs within a component need no look: they can't change it. Sizes, places,
+   the lengths of the segments and small bit tables bound the overlap before a pair is made.
+5. *Overlaps.* A set is stored as rows (node, fragment, segment). Each candidate pair meets the two segments of every
+   fragment that both sets have; the partial overlaps are counted there and summed per pair, and the sum decides.
 
 Defined results: a null or empty text and one without words have an empty set and no link; a row without id is returned
 with its set's size and a null component. Rows that share an id are judged one by one; repeated rows link like
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import arrow_udf, ship, stored, table
+from docketry.llm.common import arrow_udf, byte_slices, ship, small_batches, stored, table
 from docketry.llm.components import components
 from docketry.llm.shingles import Shingler, set_key
 
@@ -46,18 +47,19 @@ PERCENT = 75
 #: Sets up to this size are counted over the whole order, larger ones over half of it.
 SMALL = 96
 #: Text bytes for each fragment of step 1.
-FRAGMENT_BYTES = 16 << 20
+FRAGMENT_BYTES = 8 << 20
 #: Where step 3 cuts the order (count, and the shingle's bits after the point): most shingles that two sets share are
 #: shared by just two or three.
 PIVOTS = (2.25, 2.5, 2.75, 3.0, 4.0, 8.0, 32.0)
 #: Another round of single neighbours comes while pairs between components outnumber prefix rows so many times.
 PAIRS_PER_ROW = 4
 ROUNDS = 4
-#: Rows of a batch, which bounds a task's memory; places in it have 16 bits.
+#: Rows and text bytes of a batch, which bound a task's memory; places in it have 16 bits.
 BATCH_ROWS = 4_000
+BATCH_BYTES = 4 << 20
 SHARED = 0xFFFF
 #: 64-bit words of the table of a set's shingles that bounds what two sets lack of each other.
-BIT_WORDS = 16
+BIT_WORDS = 64
 #: Bits of the table that tells most rows apart without a join (1 MiB, whatever the data).
 SIEVE_BITS = 1 << 23
 
@@ -130,16 +132,18 @@ def answer(rows: pd.DataFrame) -> pd.DataFrame:
         return own
     parts = [unpack_block(k, p) for k, p in zip(blocks["keys"], blocks["places"], strict=True)]
     number = np.concatenate([p[0] for p in parts])
-    place = np.concatenate([p[1] for p in parts]).astype(np.int64)
-    block = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+    place = np.concatenate([p[1] for p in parts])
+    block = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[0]) for p in parts])
+    del parts
     order = np.argsort(number, kind="stable")
-    ordered = number[order]
-    same = ordered[1:] == ordered[:-1]
+    number = number[order]
+    same = number[1:] == number[:-1]
     met = np.zeros(len(number), bool)
     met[order] = np.r_[False, same] | np.r_[same, False]
+    del order, number, same
     met &= place != SHARED
-    where, counts = np.unique(block[met] * (SHARED + 1) + place[met], return_counts=True)
-    cuts = np.searchsorted(where, np.arange(len(parts) + 1) * (SHARED + 1))
+    where, counts = np.unique(block[met].astype(np.int64) * (SHARED + 1) + place[met], return_counts=True)
+    cuts = np.searchsorted(where, np.arange(len(blocks) + 1) * (SHARED + 1))
     found = [
         (uid, None, counts[s:e].astype("<u4").tobytes(), (where[s:e] % (SHARED + 1)).astype("<u2").tobytes())
         for uid, s, e in zip(blocks["uid"], cuts[:-1], cuts[1:], strict=True)
@@ -162,6 +166,16 @@ def sum_answers(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": docs["ids"], "n": size, "key": each, "need": need, "cnt": cnt})
 
 
+def slices(ids: list, texts: list) -> Iterator[tuple[list, list]]:
+    """Both lists in batches."""
+    at = 0
+    for part in byte_slices(texts, BATCH_BYTES):
+        for cut in range(0, len(part), BATCH_ROWS):
+            own = part[cut : cut + BATCH_ROWS]
+            yield ids[at : at + len(own)], own
+            at += len(own)
+
+
 def shared_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, n, key, need, cnt) of each row of (doc_id, text): set size, set key, shingles that a link demands
     others to hold, and shingles that others hold."""
@@ -172,10 +186,8 @@ def shared_counts(docs: DataFrame) -> DataFrame:
         shingler = Shingler()
         uid = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at in range(0, len(batch), BATCH_ROWS):
-                part = batch.iloc[at : at + BATCH_ROWS]
-                sets = list(shingler.sets(part["text"].tolist()))
-                rows = batch_rows(part["id"].tolist(), sets, uid, fragments)
+            for ids, texts in slices(batch["id"].tolist(), batch["text"].tolist()):
+                rows = batch_rows(ids, list(shingler.sets(texts)), uid, fragments)
                 yield pd.DataFrame(rows, columns=["fragment", "uid", "ids", "body", "keys", "places"])
                 uid += 1
 
@@ -227,32 +239,33 @@ def bit_words(numbers: np.ndarray) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles, bits) of the sets that ``wanted`` (doc_id, key) names; more than once where rows are repeated."""
+    """(node, n, shingles, bits) of the sets that ``wanted`` (doc_id, key, node) names; more than once where rows are repeated."""
     near = docs.select("doc_id", "text").filter(sieved(sieve(wanted)))
-    rows = near.join(wanted, "doc_id").select("text", "key")
+    rows = near.join(wanted, "doc_id").select("text", "key", "node")
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
-                sets = list(shingler.sets(part["text"].tolist()))
-                kept = [(k, own.view(np.int64), bit_words(own)) for k, own in zip(part["key"], sets, strict=True) if set_key(own) == bytes(k)]
-                yield pd.DataFrame(kept, columns=["key", "shingles", "bits"])
+            keys, nodes, at = batch["key"].tolist(), batch["node"].tolist(), 0
+            for part in byte_slices(batch["text"].tolist()):
+                kept = []
+                for own in shingler.sets(part):
+                    if set_key(own) == bytes(keys[at]):
+                        kept.append((nodes[at], own.view(np.int64), bit_words(own)))
+                    at += 1
+                yield pd.DataFrame(kept, columns=["node", "shingles", "bits"])
 
     ship(docs.sparkSession)
-    made = rows.mapInPandas(make, "key binary, shingles array<long>, bits array<long>")
-    # Inside the pair stage a class goes by the first eight bytes of its key.
-    node = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long")
-    return stored(made.select(node.alias("node"), F.size("shingles").alias("n"), "shingles", "bits"), "sets")
+    made = rows.mapInPandas(make, "node long, shingles array<long>, bits array<long>")
+    return stored(made.select("node", F.size("shingles").alias("n"), "shingles", "bits"), "sets")
 
 
 # --- steps 3 to 5 ---------------------------------------------------------------------------
 
 
 def ordered_sets(sets: DataFrame) -> DataFrame:
-    """(node, n, shared, segments, prefix): the shingles that other sets hold too, in the global order and by fragment,
-    their number, and how many of them are in the prefix. Sets with an empty prefix have no link."""
+    """(node, n, shared, segments, lengths, prefix): the shingles that other sets hold too, in the global order and by
+    fragment, their number, and how many of them are in the prefix. Sets with an empty prefix have no link."""
     rows = sets.select("node", F.explode("shingles").alias("shingle"))
     counts = rows.groupBy("shingle").agg(F.count("*").alias("freq")).filter("freq > 1")
     known = rows.join(counts, "shingle").select("node", F.struct("freq", "shingle").alias("at"))
@@ -269,12 +282,14 @@ def ordered_sets(sets: DataFrame) -> DataFrame:
         inside = F.filter("at", lambda a: (rank(a) >= low) & (rank(a) < high))
         return F.transform(inside, lambda a: a["shingle"])
 
+    cut = F.array(*[segment(a, b) for a, b in zip(bounds, bounds[1:], strict=False)])
     return stored(
-        gathered.join(sizes, "node").select(
+        gathered.join(sizes, "node").withColumn("segments", cut).select(
             "node",
             "n",
             F.size("at").alias("shared"),
-            F.array(*[segment(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]).alias("segments"),
+            "segments",
+            F.transform("segments", lambda x: F.size(x)).alias("lengths"),
             # Shingles that no other set holds come first in the order and take up places of the prefix.
             (spare_n + 1 - (F.col("n") - F.size("at"))).cast("int").alias("prefix"),
         ).filter("prefix > 0"),
@@ -282,16 +297,22 @@ def ordered_sets(sets: DataFrame) -> DataFrame:
     )
 
 
-def overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Linked pairs (a, b) of candidate pairs, by the overlap of the whole sets; the segments are slices of one row."""
+def segments_of(nodes: DataFrame) -> DataFrame:
+    """(node, n, fragment, segment): the vertical partitions, a row for each fragment in which a set has shingles."""
+    rows = nodes.select("node", "n", F.posexplode("segments").alias("fragment", "segment"))
+    return stored(rows.filter(F.size("segment") > 0), "segments")
+
+
+def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """Linked pairs (a, b) of candidate pairs: partial overlaps of each fragment, summed per pair."""
 
     def side(x: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("segments").alias(f"s{x}"))
+        return segments.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), "fragment", F.col("segment").alias(f"s{x}"))
 
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    parts = F.zip_with("sa", "sb", lambda x, y: F.size(F.array_intersect(x, y)))
-    common = F.aggregate(parts, F.lit(0), lambda total, part: total + part)
-    return met.filter(possible(common, "na", "nb")).select("a", "b")
+    met = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
+    partial = met.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common"))
+    summed = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    return summed.filter(possible(F.col("common"), "na", "nb")).select("a", "b")
 
 
 def possible(most: Column, n: str, m: str) -> Column:
@@ -324,9 +345,16 @@ def not_far(a: str = "a", b: str = "b") -> Column:
     return possible(F.least(F.col(f"n{a}") - lacks(a, b), F.col(f"n{b}") - lacks(b, a)), f"n{a}", f"n{b}")
 
 
+def matching_segments(a: str = "a", b: str = "b") -> Column:
+    """Whether the segments' lengths leave room for the overlap: a partial one is no longer than the shorter segment."""
+    each = F.zip_with(f"lengths{a}", f"lengths{b}", lambda x, y: F.least(x, y))
+    return possible(F.aggregate(each, F.lit(0), lambda total, part: total + part), f"n{a}", f"n{b}")
+
+
 def link_components(sets: DataFrame) -> DataFrame:
     """(node, root) of every set that has a link; sets are (node, n, shingles)."""
     nodes = ordered_sets(sets)
+    segments = segments_of(nodes)
     front = F.slice(F.flatten("segments"), F.lit(1), F.col("prefix"))
     # Places count from the start of the whole order: u shingles that no other set holds come first.
     prefix = nodes.select("node", "n", (F.col("n") - F.col("shared")).alias("u"), F.posexplode(front).alias("i", "shingle"))
@@ -355,7 +383,7 @@ def link_components(sets: DataFrame) -> DataFrame:
         met = own.join(first, "shingle").filter((F.col("root") != F.col("rb")) & near())
         votes = met.groupBy("a", "b").agg(F.count("*").alias("votes"))
         best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("f")).select("a", F.col("f.b").alias("b"))
-        edges, marked = grow(edges, overlaps(best, nodes), prefix)
+        edges, marked = grow(edges, overlaps(best, segments), prefix)
     # All that is left between components. Of a shingle, two components meet if their widest bounds allow it.
     roots = marked.groupBy("shingle", "root").agg(F.min("n").alias("n"), F.max(reach(F.col("n"), F.col("p"))).alias("r"))
 
@@ -368,14 +396,15 @@ def link_components(sets: DataFrame) -> DataFrame:
     able = (F.col("roota") < F.col("rootb")) & (F.col("ra") >= PERCENT * F.col("nb")) & (F.col("rb") >= PERCENT * F.col("na"))
     met_roots = stored(of_root("a").join(of_root("b"), "shingle").filter(able).select("shingle", "roota", "rootb"), "met")
     bits = sets.groupBy("node").agg(F.first("bits").alias("bits"))
+    bounds = stored(bits.join(nodes.select("node", "lengths"), "node"), "bounds")
 
     def of_met(side: str) -> DataFrame:
         rows = of_node(side).join(met_roots.select("shingle", f"root{side}").distinct(), ["shingle", f"root{side}"])
-        return rows.join(bits.select(F.col("node").alias(side), F.col("bits").alias(f"bits{side}")), side)
+        return rows.join(bounds.select(F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("bits", "lengths")]), side)
 
     met = met_roots.join(of_met("a"), ["shingle", "roota"]).join(of_met("b"), ["shingle", "rootb"])
-    pairs = met.filter(near() & not_far()).select("a", "b").distinct()
-    edges, _ = grow(edges, overlaps(pairs, nodes), prefix)
+    pairs = met.filter(near() & matching_segments() & not_far()).select("a", "b").distinct()
+    edges, _ = grow(edges, overlaps(pairs, segments), prefix)
     return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
@@ -389,14 +418,16 @@ def grow(edges: DataFrame | None, found: DataFrame, prefix: DataFrame) -> tuple[
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, key) of each row; ``component_id`` is the smallest id reachable by links."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = shared_counts(docs)
     left = rows.filter("n > 0 AND cnt >= need AND doc_id IS NOT NULL")
-    classes = stored(left.groupBy("key").agg(F.min("doc_id").alias("first_id")), "classes")
-    sets = with_sets(docs, classes.select(F.col("first_id").alias("doc_id"), "key"))
+    # Classes are numbered once, in the table that is stored.
+    numbered = left.groupBy("key").agg(F.min("doc_id").alias("first_id")).withColumn("node", F.monotonically_increasing_id())
+    classes = stored(numbered, "classes")
+    sets = with_sets(docs, classes.select(F.col("first_id").alias("doc_id"), "key", "node"))
     roots = link_components(sets)
-    node = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long")
-    named = classes.withColumn("node", node).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_key = named.join(smallest, "root").select("key", "component_id")
     out = rows.join(by_key, "key", "left").select(
