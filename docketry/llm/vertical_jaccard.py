@@ -18,7 +18,8 @@ all made; no link that could change a component is lost.
    class meets one neighbour only: of each prefix shingle the class with the lowest hash, and of these the most
    frequent one. Links found join classes into components. Then all pairs *between* components that share
    a prefix shingle are candidates, found over (shingle, component) rows; if they are many, another
-   round with other neighbours comes before. Pairs within a component need no look: they can't change it. Sizes, places,
+   round with other neighbours comes before. Large groups are looked at in blocks, at first for the likeliest links only;
+   no pair is made that a bound rules out. Pairs within a component need no look: they can't change it. Sizes, places,
    the lengths of the segments and small bit tables bound the overlap before a pair is made.
 5. *Overlaps.* A set is stored as rows (node, fragment, segment). Each candidate pair meets the two segments of every
    fragment that both sets have; the partial overlaps are counted there and summed per pair, and the sum decides.
@@ -58,8 +59,11 @@ ROUNDS = 4
 BATCH_ROWS = 4_000
 BATCH_BYTES = 4 << 20
 SHARED = 0xFFFF
-#: 64-bit words of the table of a set's shingles that bounds what two sets lack of each other.
-BIT_WORDS = 64
+#: Bits of the table of a set's shared shingles that bounds what two sets lack of each other.
+TABLE_BITS = 4096
+#: A shingle of up to so many prefixes makes its pairs in a join, one of more in blocks of so many.
+LIGHT = 32
+BLOCK = 256
 #: Bits of the table that tells most rows apart without a join (1 MiB, whatever the data).
 SIEVE_BITS = 1 << 23
 
@@ -230,16 +234,8 @@ def sieved(bits: np.ndarray) -> Column:
     return run(F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)))
 
 
-def bit_words(numbers: np.ndarray) -> np.ndarray:
-    """A bit for each shingle, by its low bits. A bit that one set has and another has not stands for at least one
-    shingle that the other lacks."""
-    bits = np.zeros(BIT_WORDS * 64, bool)
-    bits[(numbers % np.uint64(BIT_WORDS * 64)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view("<i8")
-
-
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles, bits) of the sets that ``wanted`` (doc_id, key, node) names; more than once where rows are repeated."""
+    """(node, n, shingles) of the sets that ``wanted`` (doc_id, key, node) names; more than once where rows are repeated."""
     near = docs.select("doc_id", "text").filter(sieved(sieve(wanted)))
     rows = near.join(wanted, "doc_id").select("text", "key", "node")
 
@@ -251,13 +247,13 @@ def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 kept = []
                 for own in shingler.sets(part):
                     if set_key(own) == bytes(keys[at]):
-                        kept.append((nodes[at], own.view(np.int64), bit_words(own)))
+                        kept.append((nodes[at], own.view(np.int64)))
                     at += 1
-                yield pd.DataFrame(kept, columns=["node", "shingles", "bits"])
+                yield pd.DataFrame(kept, columns=["node", "shingles"])
 
     ship(docs.sparkSession)
-    made = rows.mapInPandas(make, "node long, shingles array<long>, bits array<long>")
-    return stored(made.select("node", F.size("shingles").alias("n"), "shingles", "bits"), "sets")
+    made = rows.mapInPandas(make, "node long, shingles array<long>")
+    return stored(made.select("node", F.size("shingles").alias("n"), "shingles"), "sets")
 
 
 # --- steps 3 to 5 ---------------------------------------------------------------------------
@@ -335,22 +331,92 @@ def near(a: str = "a", b: str = "b") -> Column:
     return within & possible(most, f"n{a}", f"n{b}")
 
 
-def not_far(a: str = "a", b: str = "b") -> Column:
-    """Whether the bits of two sets leave room for the overlap that a link demands."""
-
-    def lacks(x: str, y: str) -> Column:
-        each = F.zip_with(f"bits{x}", f"bits{y}", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
-        return F.aggregate(each, F.lit(0), lambda total, part: total + part)
-
-    return possible(F.least(F.col(f"n{a}") - lacks(a, b), F.col(f"n{b}") - lacks(b, a)), f"n{a}", f"n{b}")
-
-
 def matching_segments(a: str = "a", b: str = "b") -> Column:
     """Whether the segments' lengths leave room for the overlap: a partial one is no longer than the shorter segment."""
     each = F.zip_with(f"lengths{a}", f"lengths{b}", lambda x, y: F.least(x, y))
     return possible(F.aggregate(each, F.lit(0), lambda total, part: total + part), f"n{a}", f"n{b}")
 
 
+def bit_table(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle, by its low bits. A bit that one set has and another has not stands for at least one
+    shingle that the other lacks."""
+    bits = np.zeros(TABLE_BITS, bool)
+    bits[shingles % TABLE_BITS] = True
+    return np.packbits(bits).tobytes()
+
+
+def block_pairs(rows: pd.DataFrame, best: bool = False) -> pd.DataFrame:
+    """Pairs (a, b) of one shingle's prefixes, between two blocks or within one, that no bound rules out; or of those
+    only each node's best one, by the largest overlap that the bit tables leave."""
+    first = rows["own"].to_numpy() == rows["own"].min()
+    one = first.all()
+    sides = []
+    for mask in (first, first if one else ~first):
+        own = rows[mask]
+        table = np.frombuffer(b"".join(own["bits"]), np.uint64).reshape(len(own), -1)
+        sides.append((table, np.stack(own["lengths"].tolist()), *[own[c].to_numpy(np.int64) for c in ("node", "root", "n", "u", "p")]))
+    (bits_a, len_a, a, root_a, na, ua, pa), (bits_b, len_b, b, root_b, nb, ub, pb) = sides
+    ia, ib = np.nonzero((root_a[:, None] != root_b[None, :]) & ((a[:, None] < b[None, :]) if one else True))
+
+    def still(most: np.ndarray) -> None:
+        nonlocal ia, ib
+        left = most * (100 + PERCENT) >= PERCENT * (na[ia] + nb[ib])
+        ia, ib = ia[left], ib[left]
+
+    still(np.minimum(pa[ia] - ua[ia], pb[ib] - ub[ib]) + 1 + np.minimum(na[ia] - pa[ia] - 1, nb[ib] - pb[ib] - 1))
+    still(np.minimum(len_a[ia], len_b[ib]).sum(axis=1))
+    both = np.empty(len(ia), np.int64)
+    for at in range(0, len(ia), 4096):
+        x, y = bits_a[ia[at : at + 4096]], bits_b[ib[at : at + 4096]]
+        lack_b, lack_a = (np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x)))
+        both[at : at + 4096] = np.minimum(len_a[ia[at : at + 4096]].sum(axis=1) - lack_b, len_b[ib[at : at + 4096]].sum(axis=1) - lack_a)
+    if best and len(both):
+        order = np.argsort(both, kind="stable")[::-1]
+        first_of = [order[np.unique(x[order], return_index=True)[1]] for x in (ia, ib)]
+        chosen = np.unique(np.concatenate(first_of))
+        ia, ib, both = ia[chosen], ib[chosen], both[chosen]
+    still(both)
+    low, high = np.minimum(a[ia], b[ib]), np.maximum(a[ia], b[ib])
+    return pd.DataFrame({"a": low, "b": high}).drop_duplicates()
+
+
+def pairs_between(marked: DataFrame, nodes: DataFrame, best: bool = False) -> DataFrame:
+    """Pairs of nodes of different components that share a prefix shingle and that no bound rules out; with ``best``,
+    only some of them that are likely to link, so that fewer components are left for all others.
+
+    Of a shingle in few prefixes, the pairs are made by a join, so they are in proportion to the rows. Those of a
+    shingle that a large group of near copies shares are looked at in blocks, and only what the bounds leave is made.
+    """
+    by_shingle = marked.groupBy("shingle").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+    here = marked.join(by_shingle.filter("low < high").select("shingle", "c"), "shingle")
+    here = stored(here.select("shingle", "node", "root", "n", "u", "p", "c"), "open")
+
+    def side(x: str) -> DataFrame:
+        return here.filter(F.col("c") <= LIGHT).select("shingle", F.col("node").alias(x), *[F.col(c).alias(c + x) for c in ("root", "n", "u", "p")])
+
+    light = side("a").join(side("b"), "shingle").filter("a < b AND roota <> rootb").filter(near()).select("a", "b", "na", "nb").distinct()
+    lengths = nodes.select("node", "lengths")
+    for x in ("a", "b"):
+        light = light.join(lengths.select(F.col("node").alias(x), F.col("lengths").alias(f"lengths{x}")), x)
+    light = light.filter(matching_segments()).select("a", "b")
+
+    @arrow_udf("binary")
+    def table_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for sets in batches:
+            yield pd.Series([bit_table(np.asarray(x, np.int64).view(np.uint64)) for x in sets], dtype=object)
+
+    heavy = here.filter(F.col("c") > LIGHT)
+    wanted = nodes.join(heavy.select("node").distinct(), "node", "left_semi")
+    bounds = stored(wanted.select("node", "lengths", table_of(F.flatten("segments")).alias("bits")), "bounds")
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = heavy.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.join(bounds, "node").withColumn("block", F.struct(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    ship(marked.sparkSession)
+    found = dealt.drop("other", "c").groupBy("shingle", "block").applyInPandas(lambda rows: block_pairs(rows, best), "a long, b long")
+    return found.distinct() if best else light.unionByName(found).distinct()
+
+
 def link_components(sets: DataFrame) -> DataFrame:
     """(node, root) of every set that has a link; sets are (node, n, shingles)."""
     nodes = ordered_sets(sets)
@@ -384,27 +450,9 @@ def link_components(sets: DataFrame) -> DataFrame:
         votes = met.groupBy("a", "b").agg(F.count("*").alias("votes"))
         best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("f")).select("a", F.col("f.b").alias("b"))
         edges, marked = grow(edges, overlaps(best, segments), prefix)
-    # All that is left between components. Of a shingle, two components meet if their widest bounds allow it.
-    roots = marked.groupBy("shingle", "root").agg(F.min("n").alias("n"), F.max(reach(F.col("n"), F.col("p"))).alias("r"))
-
-    def of_root(side: str) -> DataFrame:
-        return roots.select("shingle", *[F.col(c).alias(c + side) for c in ("root", "n", "r")])
-
-    def of_node(side: str) -> DataFrame:
-        return marked.select("shingle", F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("root", "n", "u", "p")])
-
-    able = (F.col("roota") < F.col("rootb")) & (F.col("ra") >= PERCENT * F.col("nb")) & (F.col("rb") >= PERCENT * F.col("na"))
-    met_roots = stored(of_root("a").join(of_root("b"), "shingle").filter(able).select("shingle", "roota", "rootb"), "met")
-    bits = sets.groupBy("node").agg(F.first("bits").alias("bits"))
-    bounds = stored(bits.join(nodes.select("node", "lengths"), "node"), "bounds")
-
-    def of_met(side: str) -> DataFrame:
-        rows = of_node(side).join(met_roots.select("shingle", f"root{side}").distinct(), ["shingle", f"root{side}"])
-        return rows.join(bounds.select(F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("bits", "lengths")]), side)
-
-    met = met_roots.join(of_met("a"), ["shingle", "roota"]).join(of_met("b"), ["shingle", "rootb"])
-    pairs = met.filter(near() & matching_segments() & not_far()).select("a", "b").distinct()
-    edges, _ = grow(edges, overlaps(pairs, segments), prefix)
+    # Of the groups that share common shingles, first the likely links, then all that is left between components.
+    edges, marked = grow(edges, overlaps(stored(pairs_between(marked, nodes, best=True), "pairs"), segments), prefix)
+    edges, _ = grow(edges, overlaps(stored(pairs_between(marked, nodes), "pairs"), segments), prefix)
     return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 

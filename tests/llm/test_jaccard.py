@@ -81,6 +81,16 @@ def test_small_batches_and_no_single_rounds(spark, copies, monkeypatch):
     assert sorted(found, key=str) == sorted(cases.plain_components(rows), key=str)
 
 
+def test_blocks_of_common_shingles(spark, copies, monkeypatch):
+    """Pairs are looked at in blocks of three, whatever the shingle."""
+    rows, docs = copies
+    monkeypatch.setattr(v, "LIGHT", 1)
+    monkeypatch.setattr(v, "BLOCK", 3)
+    monkeypatch.setattr(v, "ROUNDS", 1)
+    found = [tuple(r) for r in v.similar_components(docs).drop("key").collect()]
+    assert sorted(found, key=str) == sorted(cases.plain_components(rows), key=str)
+
+
 def test_first_of_each_component_stays(spark, copies):
     rows, docs = copies
     kept = v.keep_first(docs)
