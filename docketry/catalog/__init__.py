@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docketry.catalog import cleaning, evaluation, features, flows, lookups, models, sampling
+from docketry.catalog import certificates, cleaning, evaluation, features, flows, lookups, models, sampling
 
-MODULES = (cleaning, sampling, lookups, evaluation, features, models, flows)
+MODULES = (cleaning, sampling, lookups, evaluation, features, models, certificates, flows)
 
 
 def queries() -> dict:
