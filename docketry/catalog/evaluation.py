@@ -182,6 +182,26 @@ def reliability_table(spark, sf_dir):
     return B.rounded(M.reliability_table(scored, "actual", "probability", LABELS))
 
 
+@register(
+    "evaluation_one_pass",
+    f"""WITH {B.scored_sql()}, terms AS (
+          SELECT actual, prediction AS predicted, month(o_orderdate) AS month, list_max(probability) AS confidence,
+                 (prediction = actual)::INTEGER AS correct,
+                 least(greatest(len(list_filter(range(11), lambda i: (CASE WHEN i = 10 THEN 1.0::DOUBLE ELSE i * 0.1::DOUBLE END)
+                                                              < list_max(probability))) - 1, 0), 9)::INTEGER AS bin,
+                 list_sum(list_transform(range(5), lambda i: pow(probability[i + 1] - ([{", ".join(f"'{p}'" for p in B.PRIORITIES)}][i + 1] = actual)::INTEGER, 2))) AS brier
+          FROM scored)
+        SELECT CASE WHEN grouping(bin) = 0 THEN 'bin' WHEN grouping(month) = 0 THEN 'actual,predicted,month' ELSE 'actual,predicted' END AS "set",
+               actual, predicted, bin, month::INTEGER AS month, count(*) AS n, round(sum(confidence), 6) AS confidence,
+               round(sum(correct), 6)::DOUBLE AS correct, round(sum(brier), 6) AS brier
+        FROM terms GROUP BY GROUPING SETS ((actual, predicted), (actual, predicted, month), (bin))""",
+)
+def evaluation_one_pass(spark, sf_dir):
+    """The counts and sums behind every classification report, from one pass over the scored rows."""
+    scored = B.scored_orders(spark, sf_dir).withColumn("month", F.month("o_orderdate"))
+    return B.rounded(M.evaluation_table(scored, "actual", "prediction", "probability", LABELS, ["month"]))
+
+
 # --- model comparison -----------------------------------------------------------------------
 
 # Three score rules stand for three models; the last equals the first and so ties with it.

@@ -51,21 +51,17 @@ def tokenize_counts(spark, sf_dir):
     f"WITH {TERMS_SQL} SELECT term, count(*) AS total, count(DISTINCT doc_id) AS df FROM grams WHERE size = 2 GROUP BY term",
 )
 def ngram_counts(spark, sf_dir):
-    return FT.term_totals(FT.term_counts(_documents(spark, sf_dir), "doc_id", "text", sizes=(2,)))
+    return FT.term_statistics(_documents(spark, sf_dir), "text", sizes=(2,)).where("term IS NOT NULL")
 
 
 @register("df_filter_vocab", f"WITH {TERMS_SQL} SELECT * FROM vocab")
 def df_filter_vocab(spark, sf_dir):
-    return FT.vocabulary(FT.term_totals(FT.term_counts(_documents(spark, sf_dir), "doc_id", "text")))
+    return FT.vocabulary(FT.term_statistics(_documents(spark, sf_dir), "text").where("term IS NOT NULL"))
 
 
 @register("tfidf_weights", f"WITH {TERMS_SQL} SELECT doc_id, term, round(weight, 6) AS weight FROM weights")
 def tfidf_weights(spark, sf_dir):
-    documents = _documents(spark, sf_dir)
-    counts = materialise(FT.term_counts(documents, "doc_id", "text"), "terms")
-    vocab = FT.vocabulary(FT.term_totals(counts))
-    n_rows = documents.agg(F.count(F.lit(1)))
-    return B.rounded(FT.tfidf_weights(counts, vocab, n_rows, "doc_id"))
+    return B.rounded(FT.text_weights(_documents(spark, sf_dir), "text", "doc_id"))
 
 
 @register(

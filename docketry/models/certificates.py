@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docketry.models.classifiers import LogisticModel, class_weights
 from docketry.models.regressors import LogLinearModel
-from docketry.operators.features import FeatureView
+from docketry.operators.features import FeatureView, vector_entries
 from docketry.session import materialise, scratch_path, small_table
 
 #: The place of the intercept, whose feature is 1 in every row and which no penalty pulls.
@@ -28,16 +28,9 @@ TOLERANCE = 1e-3
 PULL_SHARE = 0.02
 
 
-def entries(vector: str) -> Column:
-    """The stored entries of a sparse or dense vector as an array of (place, value)."""
-    raw = F.unwrap_udt(vector)
-    places = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(raw["values"]) - 1))
-    return F.zip_with(places, raw["values"], lambda i, x: F.struct(i.cast("int").alias("place"), x.cast("double").alias("x")))
-
-
 def with_intercept(vector: str) -> Column:
     one = F.array(F.struct(F.lit(INTERCEPT).alias("place"), F.lit(1.0).alias("x")))
-    return F.concat(one, entries(vector))
+    return F.concat(one, vector_entries(vector))
 
 
 def name_table(view: FeatureView, spark) -> DataFrame:
@@ -65,7 +58,7 @@ def weight_table(matrix: DataFrame) -> DataFrame:
             F.when(F.col("_t"), F.col("_i")).otherwise(F.col("_o")).alias("place"),
             "coefficient",
         )
-    return matrix.select(F.lit(0).alias("class"), F.inline(entries("coefficients")).alias("place", "coefficient"))
+    return matrix.select(F.lit(0).alias("class"), F.inline(vector_entries("coefficients")).alias("place", "coefficient"))
 
 
 def saved_weights(model, spark) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -19,7 +22,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.functions import text as TX
@@ -81,6 +84,50 @@ def term_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def term_statistics(df: DataFrame, text: str, sizes: Sequence[int] = (1, 2)) -> DataFrame:
+    """``(term, total, df)`` of every word and word pair, and in the row of the null term the number of rows.
+
+    Terms leave their row as they are, and once more for each distinct one, straight into one hash aggregate that
+    adds up before the shuffle; nothing is sorted or counted within the row.
+    """
+    tokens = TX.words(F.col(text))
+    parts = [part for size, part in ((1, tokens), (2, TX.bigrams(tokens))) if size in sizes]
+    terms = df.select(F.concat(*parts).alias("_terms"))
+
+    def counted(term: Column, total: int, rows: int) -> Column:
+        return F.struct(term.alias("term"), F.lit(total).cast("bigint").alias("total"), F.lit(rows).cast("bigint").alias("df"))
+
+    each = F.concat(
+        F.array(counted(F.lit(None).cast("string"), 1, 1)),
+        F.transform("_terms", lambda t: counted(t, 1, 0)),
+        F.transform(F.array_distinct("_terms"), lambda t: counted(t, 0, 1)),
+    )
+    return terms.select(F.inline(each)).groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+
+
+def vector_entries(vector: str) -> Column:
+    """The stored entries of a sparse or dense vector as an array of (place, value)."""
+    raw = F.unwrap_udt(vector)
+    places = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    return F.zip_with(places, raw["values"], lambda i, x: F.struct(i.cast("int").alias("place"), x.cast("double").alias("x")))
+
+
+def text_weights(df: DataFrame, text: str, row_id: str, max_terms: int | None = None, min_df: int | None = None) -> DataFrame:
+    """Length-normalised TF-IDF weights as rows ``(row_id, term, weight)``, made within the row.
+
+    A row is scored against the vocabulary, which has ``max_terms`` entries at most, before it is taken apart: there is
+    one shuffle, of the terms' counts, and none of the weights.
+    """
+    fitted = fit_text(df, text, row_id, max_terms or MAX_TERMS, min_df or MIN_DOCUMENTS)
+    if fitted is None:
+        return small_table(df.sparkSession, [], "term string, weight double").select(F.lit(None).cast(df.schema[row_id].dataType).alias(row_id), "term", "weight")
+    model, names = fitted
+    vectors = model.transform(df.select(row_id, TX.text_or_empty(F.col(text)).alias("_text")))
+    rows = vectors.select(row_id, F.inline(vector_entries("_text_vector")).alias("place", "weight"))
+    terms = small_table(df.sparkSession, list(enumerate(names)), "place int, term string")
+    return rows.join(F.broadcast(terms), "place").select(row_id, "term", "weight")
+
+
 def vocabulary(
     totals: DataFrame, max_terms: int = MAX_TERMS, min_df: int = MIN_DOCUMENTS
 ) -> DataFrame:
@@ -108,13 +155,13 @@ def fit_text(
     df: DataFrame, text: str, row_id: str, max_terms: int, min_df: int
 ) -> tuple[PipelineModel, list[str]] | None:
     """A fitted chain of Spark ML stages, and its terms in vector order."""
-    counts = term_counts(df, row_id, text)
-    vocab = vocabulary(term_totals(counts), max_terms, min_df)
-    # At most max_terms rows: the terms are the model's parameters.
-    terms = sorted((r["term"], r["df"]) for r in vocab.select("term", "df").collect())
+    counts = term_statistics(df, text).where(F.col("term").isNull() | (F.col("df") >= min_df))
+    # The number of rows and at most max_terms terms: these are the model's parameters.
+    top = counts.orderBy(F.col("term").isNotNull(), F.desc("total"), "term").limit(max_terms + 1).collect()
+    n = sum(r["df"] for r in top if r["term"] is None)
+    terms = sorted((r["term"], r["df"]) for r in top if r["term"] is not None)
     if not terms:
         return None
-    n = df.count()
     names = [t for t, _ in terms]
     scale = Vectors.dense([math.log((1 + n) / (1 + d)) + 1 for _, d in terms])
     stages = [
@@ -203,6 +250,28 @@ def column_medians(
 
 # --- views ----------------------------------------------------------------------------------
 
+_SHARED: ContextVar[dict[Hashable, Any] | None] = ContextVar("shared", default=None)
+
+
+@contextmanager
+def shared_fits() -> Iterator[None]:
+    """Within this context every block of features is fitted once for a frame, whichever views ask for it, and the text
+    vectors of a frame are made and stored once. Frames are the same if their plans are."""
+    token = _SHARED.set({})
+    try:
+        yield
+    finally:
+        _SHARED.reset(token)
+
+
+def _once(key: Hashable, make: Callable[[], Any]) -> Any:
+    known = _SHARED.get()
+    if known is None:
+        return make()
+    if key not in known:
+        known[key] = make()
+    return known[key]
+
 
 @dataclass
 class FeatureView:
@@ -227,16 +296,21 @@ class FeatureView:
         rare_below: int = RARE_BELOW,
     ) -> FeatureView:
         view = cls(columns)
+        frame = train.semanticHash()
         if columns.text:
-            fitted = fit_text(train, columns.text, row_id, max_terms, min_df)
+            fitted = _once(
+                ("text", frame, columns.text, max_terms, min_df), lambda: fit_text(train, columns.text, row_id, max_terms, min_df)
+            )
             if fitted:
                 view.text_model, view.terms = fitted
         if columns.categories:
-            counts = category_counts(train, columns.categories)
-            view.codes = materialise(category_codes(counts, rare_below), "codes", by=["column"])
+            view.codes = _once(
+                ("codes", frame, columns.categories, rare_below),
+                lambda: materialise(category_codes(category_counts(train, columns.categories), rare_below), "codes", by=["column"]),
+            )
             view._name_categories()
         if columns.numbers:
-            rows = column_medians(train, columns.numbers).collect()
+            rows = _once(("medians", frame, columns.numbers), lambda: column_medians(train, columns.numbers).collect())
             found = {r["column"]: r["median"] for r in rows}
             view.medians = {c: found[c] for c in columns.numbers if c in found}
         if not view.names:
@@ -265,8 +339,7 @@ class FeatureView:
         kept = df.columns
         blocks = []
         if self.text_model is not None:
-            df = df.withColumn("_text", TX.text_or_empty(col_or_null(df, self.columns.text)))
-            df = self.text_model.transform(df)
+            df = self._with_text(df)
             blocks.append("_text_vector")
         used = [c for c in self.columns.categories if self.widths.get(c)]
         if used:
@@ -292,6 +365,14 @@ class FeatureView:
         assembled = VectorAssembler(inputCols=blocks, outputCol=out).transform(df)
         return assembled.select(*[F.col(f"`{c}`") for c in kept], out)
 
+    def _with_text(self, df: DataFrame) -> DataFrame:
+        told = df.withColumn("_text", TX.text_or_empty(col_or_null(df, self.columns.text)))
+        out = self.text_model.transform(told).select(*[F.col(f"`{c}`") for c in df.columns], "_text_vector")
+        if _SHARED.get() is None:
+            return out
+        # The memory holds the text model too, so its identity stays its own.
+        return _once(("vectors", df.semanticHash(), id(self.text_model)), lambda: materialise(out, "text-vectors"))
+
     def _encode(self, df: DataFrame, hot: dict[str, str]) -> DataFrame:
         """One-hot vectors of fixed width. The encoder learns the widths from one row."""
         spark = df.sparkSession

@@ -13,6 +13,12 @@ from docketry.operators.selection import exact_quantile
 from docketry.session import materialise
 
 
+#: A key is hot if it has more than one in so many of the rows, so there are fewer hot keys than this.
+HOT_KEYS = 64
+#: Parts that the rows of a hot key are dealt to.
+SALTS = 32
+
+
 def median_levels(df: DataFrame, first: str, second: str, target: str) -> DataFrame:
     """Exact medians per (first, second), first, second and overall, as one stored table.
 
@@ -65,21 +71,52 @@ class MedianLookup:
     second: str
     table: DataFrame
 
+    def _hot(self, level: str) -> list[str]:
+        """Keys of a one-key level that more than one row in ``HOT_KEYS`` had at fitting; so there are few."""
+        key = f"{level}_key"
+        total = self.table.where(F.col("level") == "all").select("n").scalar()
+        rows = self.table.where((F.col("level") == level) & (F.col("n") * HOT_KEYS > total))
+        return [r[0] for r in rows.select(key).collect()]
+
     @classmethod
     def fit(cls, df: DataFrame, first: str, second: str, target: str) -> MedianLookup:
         return cls(first, second, median_levels(df, first, second, target))
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Three left joins on the stored table. A key that matches wins even if its median is
-        null, so the match itself is tested and not the value."""
+        null, so the match itself is tested and not the value.
+
+        Rows of a hot key, as ``missing`` often is, are dealt to ``SALTS`` salts, and the table's row for
+        it is there once for each, so that no join task holds more than its part of them.
+        """
         t = self.table
+        hot = {"_first": self._hot("first"), "_second": self._hot("second")}
+
+        def is_hot(keys: list[str]) -> Column:
+            # A pair can be hot only if both of its keys are.
+            out = F.lit(True)
+            for k in keys:
+                out = out & F.col(k).isin(*hot[k])
+            return out
 
         def level(name: str, keys: dict[str, str]) -> DataFrame:
-            return t.where(F.col("level") == name).select(
+            rows = t.where(F.col("level") == name).select(
                 *[F.col(k).alias(a) for k, a in keys.items()],
                 F.col("median").alias(f"_median_{name}"),
                 F.lit(True).alias(f"_has_{name}"),
             )
+            return salted(rows, list(keys.values()), F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0)), F.explode)
+
+        def salted(df: DataFrame, keys: list[str], many: Column, one: Column, how=lambda c: c) -> DataFrame:
+            if not all(hot[k] for k in keys):
+                return df
+            return df.withColumn("_salt", how(F.when(is_hot(keys), many).otherwise(one)))
+
+        def find(df: DataFrame, name: str, keys: dict[str, str]) -> DataFrame:
+            on = list(keys.values())
+            if all(hot[k] for k in on):
+                return salted(df, on, F.col("_deal"), F.lit(0)).join(level(name, keys), [*on, "_salt"], "left").drop("_salt")
+            return df.join(level(name, keys), on, "left")
 
         overall = t.where(F.col("level") == "all").select("median").scalar()
         keyed = df.withColumns(
@@ -88,11 +125,12 @@ class MedianLookup:
                 "_second": key_or_missing(col_or_null(df, self.second)),
             }
         )
-        joined = (
-            keyed.join(level("pair", {"first_key": "_first", "second_key": "_second"}), ["_first", "_second"], "left")
-            .join(level("first", {"first_key": "_first"}), "_first", "left")
-            .join(level("second", {"second_key": "_second"}), "_second", "left")
-        )
+        # Which salt a row takes follows from the row, so a task that runs again deals in the same way.
+        plain = [F.col(f"`{n}`") for n, kind in df.dtypes if "map<" not in kind]
+        joined = keyed.withColumn("_deal", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+        joined = find(joined, "pair", {"first_key": "_first", "second_key": "_second"})
+        joined = find(joined, "first", {"first_key": "_first"})
+        joined = find(joined, "second", {"second_key": "_second"})
         value = (
             F.when(F.col("_has_pair"), F.col("_median_pair"))
             .when(F.col("_has_first"), F.col("_median_first"))

@@ -183,6 +183,61 @@ def reliability_table(
     )
 
 
+def evaluation_table(
+    df: DataFrame,
+    actual: str,
+    predicted: str,
+    probabilities: str,
+    labels: Sequence,
+    groups: Sequence[str] = (),
+    bins: int = 10,
+) -> DataFrame:
+    """All counts and sums that the classification reports need, from one pass over the scored rows.
+
+    One aggregate over several grouping sets: label pairs, label pairs per group, and confidence bins. ``set`` names a
+    row's grouping set by the columns that it groups by.
+    """
+    columns = ["actual", "predicted", "bin", *groups]
+    sets = [["actual", "predicted"], *[["actual", "predicted", g] for g in groups], ["bin"]]
+    confidence = F.array_max(probabilities)
+    step = 1.0 / bins
+    below = sum(((F.lit(e) < confidence).cast("int") for e in [i * step for i in range(bins)] + [1.0]), F.lit(0))
+    rows = df.select(
+        *[F.col(g) for g in groups],
+        F.col(actual).alias("actual"),
+        F.col(predicted).alias("predicted"),
+        F.greatest(F.least(below - 1, F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin"),
+        confidence.alias("confidence"),
+        (argmax_label(F.col(probabilities), labels) == F.col(actual)).cast("double").alias("correct"),
+        brier_term(F.col(actual), F.col(probabilities), labels).alias("brier"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("confidence", "correct", "brier")]
+    found = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_id"), F.count(F.lit(1)).alias("n"), *sums
+    )
+    # A bit for each column that a set does not group by, the first column's the highest.
+    named = F
+    for s in sets:
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s)
+        named = named.when(F.col("_id") == number, ",".join(s))
+    return found.withColumn("set", named).drop("_id")
+
+
+def evaluation_counts(table: DataFrame, group: str | None = None) -> DataFrame:
+    """Confusion counts out of an evaluation table, of all rows or per group."""
+    keys = ["actual", "predicted", *([group] if group else [])]
+    return table.where(F.col("set") == ",".join(keys)).select(*([group] if group else []), "actual", "predicted", "n", "brier")
+
+
+def evaluation_reliability(table: DataFrame) -> DataFrame:
+    """The reliability table out of an evaluation table."""
+    return (
+        table.where(F.col("set") == "bin")
+        .select("bin", (F.col("confidence") / F.col("n")).alias("avg_confidence"), (F.col("correct") / F.col("n")).alias("accuracy"), F.col("n").alias("count"))
+        .orderBy("bin")
+    )
+
+
 def top_coefficients(coefficients: DataFrame, top_n: int = 20) -> DataFrame:
     """The ``top_n`` features per group by absolute weight, ranked from 1.
 

@@ -14,6 +14,7 @@ from docketry import schema as S
 from docketry.models.classifiers import label_universe
 from docketry.models.registry import ModelSpec, classification_models, regression_models, save_model
 from docketry.operators import frames, metrics, sampling, uncertainty
+from docketry.operators.features import shared_fits
 from docketry.schema import FeatureColumns, RecordSchema
 from docketry.session import materialise, scratch_path, small_table
 from docketry.sources import tables
@@ -93,9 +94,17 @@ def prefixed(comparison: DataFrame, first: int, prefix: str = "validation_") ->
 
 
 def classification_scores(scored: DataFrame, target: str, labels: Sequence) -> DataFrame:
-    """One row with all metrics of a scored frame."""
-    counts = metrics.confusion_counts(scored, target, "prediction")
-    brier = metrics.multiclass_brier(scored, target, "probability", labels)
+    """One row with all metrics of a scored frame, from one pass over it."""
+    term = metrics.brier_term(F.col(target), F.col("probability"), labels)
+    counts = scored.groupBy(F.col(target).alias("actual"), F.col("prediction").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(term).alias("brier")
+    )
+    return scores_of_counts(materialise(counts, "counts"))
+
+
+def scores_of_counts(counts: DataFrame) -> DataFrame:
+    """One row with all metrics, from confusion counts with their sums of Brier terms."""
+    brier = counts.agg((F.sum("brier") / F.sum("n")).alias("b"))
     return metrics.classification_metrics(counts).withColumn("multiclass_brier", brier.scalar())
 
 
@@ -155,7 +164,8 @@ def train_classification(
     sizes = frames.check_splits(tagged, target, min_labels=2)
     train, validation, test = (tagged.where(F.col("split") == s) for s in frames.SPLITS)
     # Labels are those of the training rows; an unseen label in validation is an error.
-    results = compare_classifiers(specs, train, validation, target, row_id, label_universe(train, target))
+    with shared_fits():
+        results = compare_classifiers(specs, train, validation, target, row_id, label_universe(train, target))
     comparison = metrics.compare_models(results, "macro_f1", True)
     best = metrics.best_model(results, "macro_f1", True).first()["model"]
     fitting = frames.train_and_validation(tagged)
@@ -164,8 +174,11 @@ def train_classification(
     scored = materialise(
         model.transform(test).select(row_id, *groups, target, "prediction", "probability"), "scored"
     )
-    counts = metrics.confusion_counts(scored, target, "prediction")
-    summary = classification_scores(scored, target, labels).select(
+    table = materialise(
+        metrics.evaluation_table(scored, target, "prediction", "probability", labels, groups), "evaluation"
+    )
+    counts = metrics.evaluation_counts(table)
+    summary = scores_of_counts(counts).select(
         F.lit(best).alias("best_model"),
         F.array(*[F.lit(v) for v in labels]).alias("labels"),
         *[F.lit(sizes[s]).cast("bigint").alias(f"{s}_rows") for s in frames.SPLITS],
@@ -183,12 +196,9 @@ def train_classification(
         class_report=metrics.class_report(counts, labels),
         confusion=metrics.confusion_matrix(counts, labels),
         by_group={
-            g: metrics.metrics_by_group(
-                metrics.confusion_counts(scored, target, "prediction", [g]), g, labels, min_count
-            )
-            for g in groups
+            g: metrics.metrics_by_group(metrics.evaluation_counts(table, g), g, labels, min_count) for g in groups
         },
-        reliability=metrics.reliability_table(scored, target, "probability", labels),
+        reliability=metrics.evaluation_reliability(table),
         contributions=None if weights is None else metrics.top_coefficients(weights),
         model=model,
     )
@@ -216,16 +226,22 @@ class RegressionRun:
         save_model(self.model, f"{path}/best_model")
 
 
-def compare_regressors(
+def fitted_regressors(
     specs: Sequence[ModelSpec], train: DataFrame, validation: DataFrame, target: str, row_id: str
-) -> DataFrame:
-    """Fit every spec on train and score it on validation; an error ends the comparison."""
-    results = []
+) -> tuple[DataFrame, dict[str, Any]]:
+    """Fit every spec on train and score it on validation; an error ends the comparison. The models by name, too."""
+    results, models = [], {}
     for position, spec in enumerate(specs):
-        model = spec.build().fit(train, target, row_id)
+        model = models[spec.name] = spec.build().fit(train, target, row_id)
         scores = metrics.regression_metrics(model.transform(validation), target, "prediction").first()
         results.append((position, spec.name, spec.feature_view, "", *scores))
-    return small_table(train.sparkSession, results, REGRESSION_COMPARISON)
+    return small_table(train.sparkSession, results, REGRESSION_COMPARISON), models
+
+
+def compare_regressors(
+    specs: Sequence[ModelSpec], train: DataFrame, validation: DataFrame, target: str, row_id: str
+) -> DataFrame:
+    return fitted_regressors(specs, train, validation, target, row_id)[0]
 
 
 def conformal_run(
@@ -236,12 +252,14 @@ def conformal_run(
     target: str,
     row_id: str,
     alpha: float = 0.1,
+    fitted: Any = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Radius from a model that has seen train only, and the test intervals it gives.
 
-    This model is not the refitted one: its validation errors must be honest.
+    This model is not the refitted one: its validation errors must be honest. ``fitted`` is one of ``spec`` that train
+    has already been given to.
     """
-    calibrated = spec.build().fit(train, target, row_id)
+    calibrated = spec.build().fit(train, target, row_id) if fitted is None else fitted
     radius = materialise(
         uncertainty.conformal_radius(calibrated.transform(validation), target, "prediction", alpha),
         "radius",
@@ -264,10 +282,11 @@ def train_regression(
     tagged = materialise(tagged, "tagged", by=["split"])
     sizes = frames.check_splits(tagged, target)
     train, validation, test = (tagged.where(F.col("split") == s) for s in frames.SPLITS)
-    results = compare_regressors(specs, train, validation, target, row_id)
+    with shared_fits():
+        results, models = fitted_regressors(specs, train, validation, target, row_id)
     best = metrics.best_model(results, "mae", False).first()["model"]
     spec = _spec(specs, best)
-    radius, intervals = conformal_run(spec, train, validation, test, target, row_id, alpha)
+    radius, intervals = conformal_run(spec, train, validation, test, target, row_id, alpha, models[best])
     model = spec.build().fit(frames.train_and_validation(tagged), target, row_id)
     scores = metrics.regression_metrics(model.transform(test), target, "prediction")
     coverage = uncertainty.interval_metrics(intervals)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -44,8 +45,44 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: Local property with the folder of the run that owns the scratch tables; threads of the run inherit it.
+_OWNER = "docketry.scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/docketry/{name}-{uuid4().hex}"
+    folder = spark.sparkContext.getLocalProperty(_OWNER) or f"{scratch_root(spark)}/docketry"
+    return f"{folder}/{name}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Owns the scratch tables made within it, and deletes them at its end, also after an error.
+
+    What is to stay has to be saved elsewhere before.
+    """
+    folder = f"{scratch_root(spark)}/docketry/run-{uuid4().hex}"
+    before = spark.sparkContext.getLocalProperty(_OWNER)
+    spark.sparkContext.setLocalProperty(_OWNER, folder)
+    try:
+        yield folder
+    finally:
+        spark.sparkContext.setLocalProperty(_OWNER, before)
+        delete_path(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return files.exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def materialise(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:

@@ -5,11 +5,11 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from pyspark.ml.linalg import DenseMatrix, SparseMatrix, Vectors
-from pyspark.sql import functions as F
 
 from docketry.models import certificates as X
 from docketry.models import classifiers as C
 from docketry.models import regressors as R
+from docketry.operators.features import vector_entries
 from docketry.schema import FeatureColumns
 from docketry.session import materialise
 
@@ -89,5 +89,5 @@ def test_weights_of_every_kind_of_matrix(spark):
 
 def test_entries(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 0.0]),), (Vectors.sparse(5, [3], [2.0]),), (Vectors.sparse(5, [], []),)], ["v"])
-    got = [[tuple(e) for e in r[0]] for r in df.select(F.expr("1").alias("x"), X.entries("v").alias("e")).select("e").collect()]
+    got = [[tuple(e) for e in r[0]] for r in df.select(vector_entries("v").alias("e")).collect()]
     assert got == [[(0, 1.0), (1, 0.0)], [(3, 2.0)], []]

@@ -114,3 +114,49 @@ def test_save_and_load(spark, docs, tmp_path):
 def test_no_features(spark, docs):
     with pytest.raises(ValueError):
         FT.FeatureView.fit(docs, FeatureColumns("t", (), ()), "id", min_df=100)
+
+
+def test_term_statistics(docs):
+    total, df = Counter(), Counter()
+    for text in TEXTS:
+        total.update(grams(text))
+        df.update(set(grams(text)))
+    got = {r["term"]: (r["total"], r["df"]) for r in FT.term_statistics(docs, "t").collect()}
+    assert got.pop(None) == (len(TEXTS), len(TEXTS))
+    assert got == {t: (total[t], df[t]) for t in total}
+    pairs = FT.term_statistics(docs, "t", sizes=(2,)).where("term IS NOT NULL").collect()
+    assert {r["term"] for r in pairs} == {t for t in total if " " in t}
+
+
+def test_text_weights_equal_joined_ones(docs):
+    counts = FT.term_counts(docs, "id", "t")
+    vocab = FT.vocabulary(FT.term_totals(counts), 6, 1)
+    joined = FT.tfidf_weights(counts, vocab, docs.agg(F.count("*")), "id").collect()
+    found = FT.text_weights(docs, "t", "id", 6, 1)
+    want = {(r["id"], r["term"]): r["weight"] for r in joined}
+    assert {(r["id"], r["term"]): r["weight"] for r in found.collect()} == pytest.approx(want)
+    plan = found._jdf.queryExecution().toString()
+    after = plan[plan.index("== Physical Plan ==") :]
+    assert "hashpartitioning" not in after
+    assert FT.text_weights(docs.where("false"), "t", "id").count() == 0
+
+
+def test_shared_fits_are_made_once(spark, monkeypatch):
+    rows = [(i, f"red blue {i % 3}0 green", "xy"[i % 2], float(i)) for i in range(40)]
+    df = materialise(spark.createDataFrame(rows, "id bigint, t string, k string, u double"))
+    views = [FeatureColumns("t", (), ()), FeatureColumns("t", ("k",), ("u",)), FeatureColumns(None, ("k",), ("u",))]
+    alone = [[r[0] for r in FT.FeatureView.fit(df, v, "id").transform(df).orderBy("id").select("features").collect()] for v in views]
+    calls = []
+    for name in ("fit_text", "category_counts", "column_medians"):
+        whole = getattr(FT, name)
+        monkeypatch.setattr(FT, name, lambda *a, _n=name, _f=whole, **k: calls.append(_n) or _f(*a, **k))
+    with FT.shared_fits():
+        fitted = [FT.FeatureView.fit(df, v, "id") for v in views]
+        shared = [[r[0] for r in v.transform(df).orderBy("id").select("features").collect()] for v in fitted]
+        assert sorted(calls) == ["category_counts", "column_medians", "fit_text"]
+        # Another frame is fitted anew.
+        FT.FeatureView.fit(df.where("id < 30"), views[0], "id")
+        assert calls.count("fit_text") == 2
+    assert shared == alone
+    FT.FeatureView.fit(df, views[0], "id")
+    assert calls.count("fit_text") == 3

@@ -97,3 +97,29 @@ def test_intervals_with_a_bound_that_is_no_number(spark):
     assert got["coverage"] == 0.5
     assert got["mean_interval_width"] != got["mean_interval_width"]
     assert got["median_interval_width"] == 1.0
+
+
+def test_hot_keys_are_spread_over_tasks(spark):
+    rows = [(i, None if i % 2 else f"k{i % 900}", None if i % 3 else f"g{i % 40}", float(i % 50)) for i in range(8_000)]
+    df = spark.createDataFrame(rows, "i int, k string, g string, y double")
+    lookup = MedianLookup.fit(df, "k", "g", "y")
+    assert lookup._hot("first") == ["missing"] and lookup._hot("second") == ["missing"]
+    wanted = {r["i"]: r["prediction"] for r in lookup.transform(df).collect()}
+    pairs = {}
+    for _, k, g, y in rows:
+        pairs.setdefault((k, g), []).append(y)
+    assert wanted == {i: statistics.median(pairs[k, g]) for i, k, g, _ in rows}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = lookup.transform(df).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["i"]: r["prediction"] for r in found} == wanted
+    sizes = {}
+    for r in found:
+        sizes[r["part"]] = sizes.get(r["part"], 0) + 1
+    assert max(sizes.values()) < 0.25 * len(rows)

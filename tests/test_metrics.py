@@ -111,3 +111,21 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 3.5)], "y double, p double")
     row = M.regression_metrics(df, "y", "p").first()
     assert (row["mae"], row["rmse"]) == (1.0, pytest.approx(1.25**0.5))
+
+
+def test_one_pass_evaluation(spark):
+    rows = [(i, "abc"[i % 3], "xyz"[i % 7 % 3] if i % 5 else None, (i * 37) % 11 / 10 / 2, (i * 53) % 7 / 7 / 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k string, g string, p double, q double").select(
+        "id", "k", "g", F.lit(1).alias("month"), F.array("p", "q", 1 - F.col("p") - F.col("q")).alias("probability")
+    )
+    labels = ["a", "b", "c"]
+    df = df.withColumn("prediction", M.argmax_label(F.col("probability"), labels))
+    table = M.evaluation_table(df, "k", "prediction", "probability", labels, ["g", "month"]).cache()
+    rows_of = lambda t: sorted(map(tuple, t.collect()), key=str)
+    assert rows_of(M.evaluation_counts(table).drop("brier")) == rows_of(M.confusion_counts(df, "k", "prediction"))
+    for g in ("g", "month"):
+        assert rows_of(M.evaluation_counts(table, g).drop("brier")) == rows_of(M.confusion_counts(df, "k", "prediction", [g]))
+    for got, want in zip(M.evaluation_reliability(table).collect(), M.reliability_table(df, "k", "probability", labels).collect(), strict=True):
+        assert tuple(got) == pytest.approx(tuple(want))
+    brier = M.evaluation_counts(table).agg(F.sum("brier") / F.sum("n")).first()[0]
+    assert brier == pytest.approx(M.multiclass_brier(df, "k", "probability", labels).first()[0])
