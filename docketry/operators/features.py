@@ -90,19 +90,19 @@ def term_statistics(df: DataFrame, text: str, sizes: Sequence[int] = (1, 2)) ->
     Terms leave their row as they are, and once more for each distinct one, straight into one hash aggregate that
     adds up before the shuffle; nothing is sorted or counted within the row.
     """
-    tokens = TX.words(F.col(text))
-    parts = [part for size, part in ((1, tokens), (2, TX.bigrams(tokens))) if size in sizes]
-    terms = df.select(F.concat(*parts).alias("_terms"))
-
-    def counted(term: Column, total: int, rows: int) -> Column:
-        return F.struct(term.alias("term"), F.lit(total).cast("bigint").alias("total"), F.lit(rows).cast("bigint").alias("df"))
-
-    each = F.concat(
-        F.array(counted(F.lit(None).cast("string"), 1, 1)),
-        F.transform("_terms", lambda t: counted(t, 1, 0)),
-        F.transform(F.array_distinct("_terms"), lambda t: counted(t, 0, 1)),
-    )
-    return terms.select(F.inline(each)).groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    # Columns of their own, so that each text is cut up once and not where its words are used.
+    tokens = df.select(TX.words(F.col(text)).alias("_tokens"))
+    parts = [part for size, part in ((1, F.col("_tokens")), (2, TX.bigrams(F.col("_tokens")))) if size in sizes]
+    terms = tokens.select(F.concat(*parts).alias("_terms"))
+
+    # Rows of the first kind count occurrences, of the second one texts.
+    none = F.array(F.lit(None).cast("string"))
+    kinds = [(1, 0, F.col("_terms")), (0, 1, F.concat(F.array_distinct("_terms"), none))]
+    number = lambda n, name: F.lit(n).cast("bigint").alias(name)
+    every = terms.select(F.inline(F.array(*[F.struct(number(a, "_one"), number(b, "_row"), t.alias("_terms")) for a, b, t in kinds])))
+    each = every.select(F.explode("_terms").alias("term"), "_one", "_row")
+    counts = each.groupBy("term").agg(F.sum("_one").alias("total"), F.sum("_row").alias("df"))
+    return counts.select("term", F.when(F.col("term").isNull(), F.col("df")).otherwise(F.col("total")).alias("total"), "df")
 
 
 def vector_entries(vector: str) -> Column:
