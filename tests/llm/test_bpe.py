@@ -1,6 +1,8 @@
 """The pair index against the public library, on awkward words and on generated text."""
 
 import hashlib
+import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -47,6 +49,28 @@ def test_generated_texts(own, library, texts):
     agrees(own, library, texts)
 
 
+def test_marks_are_ordered_as_the_library_does(own, library):
+    """Every combining mark before and after marks of low and high class, all canonical pairs, and mixed runs of marks."""
+    nfc = tokenizers.normalizers.NFC().normalize_str
+    characters = list(map(chr, range(0x110000)))
+    marks = [c for c in characters if unicodedata.combining(c)]
+    texts = [f"b{x}" for m in marks for k in "\u0334\u0327\u0301\u0345" for x in (m + k, k + m)]
+    for c in characters:
+        parts = unicodedata.decomposition(c)
+        if parts and "<" not in parts:
+            pair = "".join(chr(int(x, 16)) for x in parts.split())
+            texts += [c, pair, unicodedata.normalize("NFD", c), pair + "\u0334"]
+    rng = random.Random(3)
+    late = [m for m in marks if bpe.NORMALISED_PARTS.sub("", m)]
+    starters = "aeo\u1100\u1161\u11a8\u0bc6\u0b47\u0d46\u0f71\U00011935\U00011930\U00011938"
+    for _ in range(20_000):
+        pool = [marks, late, starters]
+        texts.append("".join(rng.choice(rng.choice(pool)) for _ in range(rng.randint(2, 7))))
+    assert len(late) == 108
+    assert [t for t in texts if bpe.composed(t) != nfc(t)] == []
+    agrees(own, library, ["\u032b\u0d3c", *texts[-2000:]])
+
+
 def test_decoded_text_comes_from_the_ids():
     encoder = bpe.Encoder(PATH)
     list(encoder.encode(["two words"]))
