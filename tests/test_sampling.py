@@ -106,6 +106,46 @@ def test_same_rows_however_partitioned(rows):
     assert {r["row_id"] for r in chosen(rows, seed=1)[1].collect()} != base
 
 
+def lowest_by_hand(rows, quotas, seed=42):
+    """The ids with the smallest scores of each group, by sorting whole groups on the driver."""
+    scored = rows.withColumn("s", SM.random_score(seed, F.col("row_id"))).collect()
+    groups = {}
+    for r in scored:
+        groups.setdefault((r["sample_month"], r["NATURE_TARGET"]), []).append((r["s"], r["row_id"]))
+    wanted = {(q[0], q[1]): q["quota"] for q in quotas.collect()}
+    return sorted(i for k, own in groups.items() for _, i in sorted(own)[: wanted.get(k, 0)])
+
+
+@pytest.mark.parametrize("band", [0.0, 0.2, 6.0])
+def test_missed_bands_do_not_change_the_choice(rows, monkeypatch, band):
+    """Without a band, or with a narrow one, the threshold is missed in most groups."""
+    monkeypatch.setattr(SM, "BAND", band)
+    quotas, picked = chosen(rows)
+    assert sorted(r["row_id"] for r in picked.collect()) == lowest_by_hand(rows, quotas)
+
+
+def test_counts_of_other_rows_do_not_change_the_choice(spark, rows):
+    """Wrong group sizes, quotas of none and all rows, one row groups, and groups without rows."""
+    extra = spark.createDataFrame([(9000, "2020-09", "x")], "row_id bigint, sample_month string, NATURE_TARGET string")
+    rows = rows.unionByName(extra)
+    table = [("2020-01", "x", 90, 40), ("2020-02", "x", 10**6, 5), ("2020-03", "x", 571, 0), ("2020-04", "x", 571, 571)]
+    table += [("2020-08", "x", 50, 5), ("2020-09", "x", 1, 1)]
+    quotas = materialise(spark.createDataFrame(table, "sample_month string, NATURE_TARGET string, n bigint, quota bigint"))
+    picked = SM.choose_rows(rows, quotas, "row_id")
+    assert sorted(r["row_id"] for r in picked.collect()) == lowest_by_hand(rows, quotas)
+
+
+def test_only_a_small_share_of_a_group_is_ranked(spark):
+    rows = spark.range(200_000).select(F.col("id").alias("row_id"), F.lit("2020-01").alias("sample_month"), F.lit("x").alias("NATURE_TARGET"))
+    for quota, most in [(20_000, 0.02), (200_000, 0.001), (10, 0.001)]:
+        quotas = materialise(rows.limit(1).select("sample_month", "NATURE_TARGET", F.lit(200_000).alias("n"), F.lit(quota).alias("quota")))
+        scored = rows.withColumn("_score", SM.random_score(42, F.col("row_id")))
+        cells, ranges = SM.threshold_cells(scored, quotas, "row_id")
+        assert ranges.first()["_to"] < 2
+        assert 0 < cells.count() <= most * 200_000
+        assert SM.choose_rows(rows, quotas, "row_id").count() == quota
+
+
 def test_subset_is_chronological_and_cleaned_last(spark, rows):
     records = rows.select(
         "row_id",
