@@ -14,7 +14,8 @@ the escape reversible by plain replacement, also for texts that hold markers or
 Null cases: a null text, role, part list or kind counts as empty (a part of null kind as text); a null turn number
 comes first; turns of one number come in the order of role and content. Rows without a conversation id form one
 conversation with a null id. A conversation is one row of the result and has to fit into memory; nothing
-larger is ever gathered.
+larger is ever gathered. Texts of any length are kept whole; repeated rows are turns of their own; an empty table
+gives an empty result; columns of other names are not looked at.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ encoded once per worker and remembered (``MEMORY_WORDS`` at most; that changes n
 whole text.
 
 A null text has no words and is an empty one: all counts 0, ``base_failed`` true, ``kept`` false. Rows are judged
-one by one, repeated rows alike; columns other than id and text are not read.
+one by one, repeated rows alike; columns other than id and text are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ table) goes to all tasks.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of
 another than the most frequent length (of two as frequent ones, the longer). Rows without id take no part.
-With fewer candidates than asked for, all are returned. Repeated rows of one id and vector are one row.
+With fewer candidates than asked for, all are returned. Repeated rows of one id and vector are one row. An empty
+table gives an empty result; columns of other names are not looked at.
 """
 
 from __future__ import annotations

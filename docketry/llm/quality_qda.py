@@ -12,7 +12,8 @@ lowest), for the two weights and the calibration. Everything else covers all row
 
 Defined results: a null text is an empty one and scored as such. Labels other than 0 and 1 are left out; a document
 with several label rows counts once for each. Without rows of both classes in training every score is the
-share of label 1 with one row of each class added, or 0.5 without any label.
+share of label 1 with one row of each class added, or 0.5 without any label. An empty table gives an empty result;
+columns of other names are not looked at. A text is measured whole, however long, and repeated rows are scored alike.
 """
 
 from __future__ import annotations

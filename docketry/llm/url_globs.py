@@ -5,7 +5,8 @@ Shift-And moves every state of every glob by one character. ``*`` (any run witho
 and ``?`` (one character) become self-loop bits and full mask bits, so a star costs no extra state.
 
 Null cases: a URL that is null or has no ``://`` has an empty host and path, fits no rule and gets the verdict of
-the globs on the empty string (allow, unless a glob fits it).
+the globs on the empty string (allow, unless a glob fits it). A URL is read to its end, however long. Repeated rows are
+judged alike; an empty table gives an empty result; columns of other names are not looked at.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ all made; no link that could change a component is lost.
 
 Defined results: a null or empty text and one without words have an empty set and no link; a row without id is returned
 with its set's size and a null component. Rows that share an id are judged one by one; repeated rows link like
-any others. ``docs`` has to come in a repeatable order, as a table scan does: batches are numbered.
+any others. ``docs`` has to come in a repeatable order, as a table scan does: batches are numbered. An empty table gives
+an empty result; columns of other names are not looked at. Work is cut by text bytes, so a very long text is a slice of its own.
 """
 
 from __future__ import annotations

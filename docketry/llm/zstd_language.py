@@ -11,7 +11,8 @@ letters count as spaces, in samples and texts alike: they tell no language.
 
 Defined results: a null text and a text without a letter are ``und`` with score 0 and rejected. Equal sizes go to
 the language whose name comes first (margin 0, rejected). Without any labelled text every language is ``und``; with
-one language only, that one is the answer with score 1 and is not rejected.
+one language only, that one is the answer with score 1 and is not rejected. Repeated rows are answered alike; an empty
+table gives an empty result; columns of other names are not looked at.
 """
 
 from __future__ import annotations

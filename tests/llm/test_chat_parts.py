@@ -50,6 +50,16 @@ def test_parts_become_ordered_placeholders(spark):
     assert out[2]["attachments"] == []
 
 
+def test_a_very_long_text_comes_back_whole(spark):
+    text = "a\\b <turn user> </turn>\n" * 40_000
+    rows = [(1, 0, "user", text), (1, 1, "assistant", text + "end"), (2, 0, "assistant", "short")]
+    out = c.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    read = out.select("conv_id", c.read_turns(F.col("formatted")).alias("t"), c.read_loss(F.col("formatted"), F.col("loss_spans")).alias("l"))
+    found = {r["conv_id"]: r for r in read.collect()}
+    assert [t["text"] for t in found[1]["t"]] == [text, text + "end"]
+    assert found[1]["l"] == text + "end" and found[2]["l"] == "short"
+
+
 def test_added_conversation(spark, tmp_path):
     spark.createDataFrame([(0, 0, "user", "a")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     r = {x["conv_id"]: x for x in c.op6_chat_parts(spark, str(tmp_path)).collect()}[-7]
