@@ -431,7 +431,7 @@ def link_components(sets: DataFrame) -> DataFrame:
     prefix = prefix.join(beside, "shingle").filter(reach(F.col("n"), F.col("p")) >= PERCENT * F.col("least_n"))
     prefix = stored(prefix.select("node", "n", "u", "p", "shingle"), "prefix")
 
-    edges = None
+    roots = None
     marked = prefix.withColumn("root", F.col("node"))
     n_rows = prefix.count()
     last = None
@@ -450,19 +450,35 @@ def link_components(sets: DataFrame) -> DataFrame:
         met = own.join(first, "shingle").filter((F.col("root") != F.col("rb")) & near())
         votes = met.groupBy("a", "b").agg(F.count("*").alias("votes"))
         best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("f")).select("a", F.col("f.b").alias("b"))
-        edges, marked = grow(edges, overlaps(best, segments), prefix)
+        roots, marked = grow(roots, marked, overlaps(best, segments), prefix)
     # Of the groups that share common shingles, first the likely links, then all that is left between components.
-    edges, marked = grow(edges, overlaps(stored(pairs_between(marked, nodes, best=True), "pairs"), segments), prefix)
-    edges, _ = grow(edges, overlaps(stored(pairs_between(marked, nodes), "pairs"), segments), prefix)
-    return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-
-def grow(edges: DataFrame | None, found: DataFrame, prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links so far, and the prefix rows marked with their component."""
-    edges = stored(found if edges is None else edges.unionByName(found), "links")
-    roots = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots, marked = grow(roots, marked, overlaps(stored(pairs_between(marked, nodes, best=True), "pairs"), segments), prefix)
+    last_links = stored(overlaps(stored(pairs_between(marked, nodes), "pairs"), segments), "links")
+    return merged(roots, last_links)
+
+
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after the stored ``links`` (a, b) have joined the components of ``roots``. Only their ends' roots are
+    searched anew, so a later search is as large as its new links, not as all links so far."""
+    if roots is None:
+        return stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+    for x, y in (("a", "u"), ("b", "v")):
+        known = roots.select(F.col("node").alias(x), F.col("root").alias("known"))
+        links = links.join(known, x, "left").withColumn(y, F.coalesce("known", x)).drop("known")
+    joined = components(links.select("u", "v"))
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    moved = moved.select("node", F.coalesce("to", "root").alias("root"))
+    return stored(moved.unionByName(joined.join(roots, "node", "left_anti")), "roots")
+
+
+def grow(roots: DataFrame | None, marked: DataFrame, found: DataFrame, prefix: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The components after the links ``found``, and the prefix rows marked with their component."""
+    links = stored(found, "links")
+    if links.isEmpty():
+        return roots, marked
+    roots = merged(roots, links)
     marked = prefix.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return edges, stored(marked, "marked")
+    return roots, stored(marked, "marked")
 
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -126,3 +126,14 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {found[i] for i in [500, *range(100, 150)]} == {100}
     assert {found[i] for i in (900, 901, 902)} == {900}
     assert c.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_merged_components_are_those_of_all_links(spark):
+    rng = random.Random(9)
+    every, roots = [], None
+    for size in (40, 25, 0, 60):
+        links = [tuple(sorted(rng.sample(range(150), 2))) for _ in range(size)]
+        every += links
+        roots = v.merged(roots, spark.createDataFrame(links, "a long, b long"))
+        found = sorted(tuple(r) for r in roots.collect())
+        assert found == sorted(tuple(r) for r in c.components(spark.createDataFrame(every, "u long, v long")).collect())
