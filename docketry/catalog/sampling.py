@@ -55,6 +55,20 @@ def strata_counts(spark, sf_dir):
     return SM.strata_counts(SM.sampling_rows(B.order_records(spark, sf_dir)))
 
 
+@register(
+    "pruned_scan_counts",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS sample_month, o_orderpriority AS "NATURE_TARGET", count(*) AS n
+       FROM orders GROUP BY ALL""",
+)
+def pruned_scan_counts(spark, sf_dir):
+    """Strata counted from a raw file with all columns of the table, of which the scan parses two."""
+    path = scratch_path(spark, "raw")
+    renamed = {"o_orderdate": S.CREATED, "o_orderpriority": S.TARGET}
+    B.table(spark, sf_dir, "orders").withColumnsRenamed(renamed).write.options(header=True, escape='"').csv(path)
+    raw = tables.scan_csv(spark, path, [S.CREATED, S.TARGET], encoding="UTF-8", multi_line=False)
+    return SM.strata_counts(SM.sampling_rows(raw.withColumn(S.CREATED, F.col(S.CREATED).cast("timestamp"))))
+
+
 # Targets that reach each branch at sf0.01: fill, trim within one round, trim over several
 # rounds, and minimum sizes that exceed the target.
 VARIANTS = {

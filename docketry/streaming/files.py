@@ -15,11 +15,15 @@ from docketry.sources.tables import csv_options, null_strings
 
 
 def read_arriving(
-    spark: SparkSession, folder: str, columns: list[str], encoding: str | None = None
+    spark: SparkSession,
+    folder: str,
+    columns: list[str],
+    encoding: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """New CSV files of a folder, all columns as text."""
+    """New CSV files of a folder, all columns as text; without ``multi_line``, large UTF-8 files are split."""
     fields = ", ".join(f"`{c}` string" for c in columns)
-    options = csv_options(folder, encoding)
+    options = csv_options(folder, encoding, multi_line)
     return null_strings(spark.readStream.schema(fields).options(**options).csv(folder))
 
 

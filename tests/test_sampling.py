@@ -1,11 +1,15 @@
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from docketry import schema as S
+from docketry.catalog import sampling as sampling_catalog
 from docketry.operators import sampling as SM
 from docketry.session import materialise
+from docketry.streaming import files
 
 KEYS = ("sample_month", "NATURE_TARGET")
 
@@ -162,3 +166,22 @@ def test_subset_is_chronological_and_cleaned_last(spark, rows):
     assert info["source_rows_with_valid_time_and_nature"] == 6000
     assert sum(info["monthly_nature_sampled_counts"].values()) == 300
     assert set(info["monthly_nature_counts"]) == {"2020-01|x", "2020-02|x", "2020-03|x"}
+
+
+def test_pruned_scan_reads_two_columns(spark):
+    counts = sampling_catalog.pruned_scan_counts(spark, "/root/testdata/sf0.001")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all(s == f"{S.CREATED}:string,{S.TARGET}:string" for s in schemas)
+
+
+def test_streaming_scan_without_line_breaks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("v,w\n" + "".join(f"{i},NA\n" for i in range(50)))
+    raw = files.read_arriving(spark, str(folder), ["v", "w"], encoding="UTF-8", multi_line=False)
+    out = str(tmp_path / "out")
+    query = raw.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "check"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(out)
+    assert (found.count(), found.where("w IS NOT NULL").count()) == (50, 0)
