@@ -77,12 +77,18 @@ def arrow_udf(schema: str):
 BATCH_BYTES = 4 << 20
 
 
+#: Rows that a Parquet reader holds at a time, uncompressed; Spark's 4,096 texts fill arrays of tens of megabytes.
+SCAN_ROWS = 512
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what Python workers are handed at a time by bytes, not rows alone, from now on in this session.
+    """Bounds what Python workers are handed at a time by bytes, not rows alone, and what scans hold by fewer rows, from
+    now on in this session.
 
     Ten thousand rows, Spark's bound, are as large as their texts; results don't depend on the cut.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
 
 
 #: Text bytes that a task works on at a time, where a text isn't longer.

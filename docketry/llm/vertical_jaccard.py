@@ -206,33 +206,27 @@ def shared_counts(docs: DataFrame) -> DataFrame:
 # --- a sieve of ids, to join texts without shuffling most of them ---------------------------
 
 
-def sieve(ids: DataFrame) -> np.ndarray:
-    """A bit table with the hash of every id of (doc_id); its size is fixed, so it may be sent to all tasks."""
+def sieve(ids: DataFrame) -> DataFrame:
+    """One row (bits) with the hash of every id of (doc_id) in a bit table, as a map of its chunks of 4 KiB; its size is
+    bounded, so it may be sent to all tasks."""
     # Spark numbers bits and chunks from 1.
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)) + 1
     chunks = (
         ids.select(slot.alias("slot"))
         .groupBy(F.bitmap_bucket_number("slot").alias("chunk"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
     )
-    out = np.zeros(SIEVE_BITS // 8, np.uint8)
-    for r in chunks:
-        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
-        out[(r["chunk"] - 1) * len(bits) : r["chunk"] * len(bits)] = bits
-    return out
-
+    return stored(chunks.agg(F.map_from_entries(F.collect_list(F.struct("chunk", "bits"))).alias("bits")), "sieve")
 
-def sieved(bits: np.ndarray) -> Column:
-    """A column that is true for every id in the sieve, and for few others while the sieve is sparse."""
 
-    @arrow_udf("boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for slots in batches:
-            s = slots.to_numpy(np.int64)
-            yield pd.Series((bits[s >> 3] >> (s & 7).astype(np.uint8)) & 1 == 1)
-
-    return run(F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)))
+def sieved(bits: DataFrame) -> Column:
+    """A column that is true for every id in the sieve, and for few others while the sieve is sparse. The rows hold texts,
+    so no Python worker is asked: its task would keep the rows while they wait, and a second worker for the sets."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)) + 1
+    place = F.bitmap_bit_position(slot)
+    chunk = F.try_element_at(bits.scalar(), F.bitmap_bucket_number(slot))
+    byte = F.substring(chunk, F.shiftright(place, 3).cast("int") + 1, F.lit(1))
+    return F.coalesce(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1, F.lit(False))
 
 
 def with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -513,9 +507,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     judged = rows.join(first.withColumn("stays", F.lit(True)), ["doc_id", "key"], "left")
     concerned = stored(judged.filter("stays IS NULL OR rows > 1").select("doc_id").distinct(), "concerned")
     keepers = first.join(concerned, "doc_id", "left_semi")
-    maybe = sieved(sieve(concerned))
     whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    marked = whole.withColumn("maybe", maybe)
+    marked = whole.withColumn("maybe", sieved(sieve(concerned)))
     clear = marked.filter("NOT maybe OR doc_id IS NULL").select("row.*")
     near = marked.filter("maybe AND doc_id IS NOT NULL")
     apart = near.join(concerned, "doc_id", "left_anti").select("row.*")
@@ -526,7 +519,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
         for texts in batches:
             yield pd.Series([set_key(s) if len(s) else b"" for s in shingler.sets(texts.tolist())], dtype=object)
 
-    keyed = near.join(concerned, "doc_id", "left_semi").withColumn("key", key_of(F.col("text")))
+    # Declared so, a key isn't made once more, by a second worker, for a filter that the join below would push under it.
+    keyed = near.join(concerned, "doc_id", "left_semi").withColumn("key", key_of.asNondeterministic()(F.col("text")))
     wordless = keyed.filter(F.length("key") == 0).select("row.*")
     one = keyed.join(keepers, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).select("row.*")
     return clear.unionByName(apart).unionByName(wordless).unionByName(one)

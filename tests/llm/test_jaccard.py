@@ -137,3 +137,44 @@ def test_merged_components_are_those_of_all_links(spark):
         roots = v.merged(roots, spark.createDataFrame(links, "a long, b long"))
         found = sorted(tuple(r) for r in roots.collect())
         assert found == sorted(tuple(r) for r in c.components(spark.createDataFrame(every, "u long, v long")).collect())
+
+
+def test_sieve_is_as_told_bit_by_bit(spark, monkeypatch):
+    monkeypatch.setattr(v, "SIEVE_BITS", 1 << 17)
+    ids = spark.range(0, 40_000, 7).select(F.col("id").alias("doc_id"))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(v.SIEVE_BITS)).alias("slot")
+    held = {r["slot"] for r in ids.select(slot).collect()}
+    bits = v.sieve(ids)
+    rows = spark.range(50_000).select(F.col("id").alias("doc_id")).select(slot, v.sieved(bits).alias("maybe")).collect()
+    assert all(r["maybe"] == (r["slot"] in held) for r in rows)
+    none = v.sieve(ids.filter("doc_id < 0"))
+    assert ids.filter(v.sieved(none)).count() == 0
+
+
+def python_steps(df):
+    """How many steps of one branch of the plan run Python row by row, at most; groups are made anew and so not counted."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    most, stack = 0, []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        stack = [x for x in stack if x[0] < depth]
+        python = any(name in line.split("[")[0] for name in ("ArrowEvalPython", "MapInPandas", "BatchEvalPython"))
+        stack.append((depth, python))
+        most = max(most, sum(x[1] for x in stack))
+    return most
+
+
+def test_a_task_has_one_python_worker(spark, copies, monkeypatch):
+    _, docs = copies
+    assert python_steps(v.keep_first(docs)) == 1
+    made = []
+    real = v.stored
+    monkeypatch.setattr(v, "stored", lambda df, name, *a: made.append(python_steps(df)) or real(df, name, *a))
+    v.similar_components(docs).count()
+    assert len(made) > 5 and max(made) == 1
+
+
+def test_scans_of_texts_hold_few_rows(spark, docs):
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+    v.similar_components(docs)
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
