@@ -253,3 +253,27 @@ def test_row_ids_follow_files_of_unequal_size(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
         assert [r["v"] for r in sorted(rows, key=lambda r: r["row_id"])] == want
         assert sorted(r["row_id"] for r in rows) == list(range(len(want)))
+
+
+def test_many_records_of_one_row_group_are_dealt_out(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, rng.randbytes(1500).hex(), "ab"[i % 3 == 0], ("train", "validation", "test")[i % 3 if i % 5 else 0]) for i in range(3000)]
+    spark.createDataFrame(rows, "id long, text string, grade string, split string").coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    made = {}
+    real = workflows.materialise
+
+    def kept(df, name, by=()):
+        made[name] = real(df, name, by)
+        return made[name]
+
+    monkeypatch.setattr(workflows, "materialise", kept)
+    specs = [ModelSpec("prior", "none", PriorClassifier)]
+    runs = []
+    for most in (3000, 2999):
+        monkeypatch.setattr(workflows, "SPREAD_ROWS", most)
+        run = workflows.train_classification(one, "grade", "id", groups=("split",), specs=specs)
+        train = made["tagged"].where("split = 'train'")
+        runs.append((run.class_report.collect(), sorted(made["tagged"].collect()), train.select(F.input_file_name()).distinct().count()))
+    assert runs[0][:2] == runs[1][:2] and len(runs[0][1]) == 3000
+    assert runs[0][2] == 1 and runs[1][2] > 1
